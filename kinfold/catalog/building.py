@@ -145,7 +145,7 @@ def value_link_hubs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("dst").alias("other"),
         F.get(vals(F.col("props"), "shared_value"), F.lit(0)).alias("value"),
     )
-    members = hubs.select("side", "id", F.lit(None).cast("bigint").alias("other"), F.col("hub").alias("value"))
+    members = hubs.select("side", "id", F.lit(-1).cast("bigint").alias("other"), F.col("hub").alias("value"))
     return listed.unionByName(members)
 
 
@@ -273,9 +273,9 @@ WITH s AS (SELECT s_nationkey AS k, count(*) AS m FROM supplier GROUP BY 1),
 SELECT 'pair' AS side, {sql.SUPPLIER} AS id, {sql.CUSTOMER} AS other, CAST(k AS VARCHAR) AS value
 FROM supplier JOIN w ON k = s_nationkey JOIN customer ON c_nationkey = k WHERE NOT wide
 UNION ALL
-SELECT 'src', {sql.SUPPLIER}, NULL, CAST(k AS VARCHAR) FROM supplier JOIN w ON k = s_nationkey WHERE wide
+SELECT 'src', {sql.SUPPLIER}, -1, CAST(k AS VARCHAR) FROM supplier JOIN w ON k = s_nationkey WHERE wide
 UNION ALL
-SELECT 'dst', {sql.CUSTOMER}, NULL, CAST(k AS VARCHAR) FROM customer JOIN w ON k = c_nationkey WHERE wide
+SELECT 'dst', {sql.CUSTOMER}, -1, CAST(k AS VARCHAR) FROM customer JOIN w ON k = c_nationkey WHERE wide
 """,
     "pmid_links": """
 SELECT event_id * 16 + 13 AS src, o_orderkey * 16 + 14 AS dst, 'REFERENCES' AS rel, 'PMID:' || user_id AS shared_value,

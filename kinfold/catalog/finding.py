@@ -102,7 +102,7 @@ def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _routed(spark, sf_dir)
+    return _routed(spark, sf_dir).withColumn("research_score", F.col("research_score").cast("string"))
 
 
 def score_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +130,7 @@ def extract_answer_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "event_id",
         answers.extract_json(F.col("text")).alias("json"),
-        F.get_json_object(answers.final_answer(F.col("text")), "$.k").try_cast("bigint").alias("answer"),
+        F.get_json_object(answers.final_answer(F.col("text")), "$.k").alias("answer"),
     )
 
 
@@ -307,11 +307,11 @@ WHERE id IN (SELECT o_custkey * 16 + 1 FROM orders WHERE o_orderpriority = '1-UR
 SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND source <> 'src3'
 """,
     "score_checks": f"WITH {_RAW_SCORES} SELECT label, key, score, confidence, reasoning, faulty FROM s",
-    "score_routing": f"{_ROUTED} SELECT * FROM z",
+    "score_routing": f"{_ROUTED} SELECT * REPLACE (CAST(research_score AS VARCHAR) AS research_score) FROM z",
     "score_export": f"{_ROUTED} SELECT label, key, final_score AS importance_score, final_rationale AS rationale FROM z",
     "extract_answer_json": """
 SELECT event_id, CASE WHEN event_id % 5 = 3 THEN NULL ELSE props END AS json,
-       CASE WHEN event_id % 5 = 4 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS answer
+       CASE WHEN event_id % 5 = 4 THEN json_extract_string(props, '$.k') END AS answer
 FROM events
 """,
     "tool_calls": """

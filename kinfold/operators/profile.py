@@ -22,6 +22,7 @@ from kinfold.model import (
 )
 from kinfold.operators.policy import PROPERTY_LABEL
 from kinfold.operators.scan import node_labels, nodes_with_label, property_samples
+from kinfold.session import ensure_checkpoint_dir
 
 SHOWN_ELEMENTS = 5
 HAS_PROPERTY = "HAS_PROPERTY"
@@ -75,7 +76,11 @@ def schema_edges(graph: Graph) -> DataFrame:
 
 def property_usage(graph: Graph) -> DataFrame:
     """(key, label, type): labels that use a key; the type is one per key."""
-    used = node_property_types(graph).select("label", "key", "type")
+    return _usage(node_property_types(graph))
+
+
+def _usage(types: DataFrame) -> DataFrame:
+    used = types.select("label", "key", "type")
     first = used.groupBy("key").agg(F.min("type").alias("type"))
     return used.select("key", "label").join(first, "key")
 
@@ -113,9 +118,11 @@ def schema_graph(graph: Graph) -> Graph:
         entry = F.struct("key", scalar(F.col("type")).alias("value"))
         return rows.groupBy(owner).agg(F.map_from_entries(F.collect_list(entry)).alias("props"))
 
+    ensure_checkpoint_dir(graph.nodes.sparkSession)
     labels = node_labels(graph.nodes)
-    node_types = node_property_types(graph)
-    usage = property_usage(graph)
+    # Everything below is as small as the schema; the graph is read once for it.
+    node_types = node_property_types(graph).checkpoint()
+    usage = _usage(node_types)
     label_nodes = labels.join(types_of(node_types, "label"), "label", "left").select(
         node_id("label", F.col("label")).alias("id"),
         F.array("label").alias("labels"),
@@ -152,7 +159,9 @@ def schema_graph(graph: Graph) -> Graph:
         F.lit(HAS_PROPERTY).alias("rel"),
         no_props().alias("props"),
     )
-    return Graph.of(label_nodes.unionByName(key_nodes), label_edges.unionByName(key_edges))
+    return Graph.of(
+        label_nodes.unionByName(key_nodes).checkpoint(), label_edges.unionByName(key_edges).checkpoint()
+    )
 
 
 # --- profile ----------------------------------------------------------------

@@ -75,18 +75,24 @@ def checked_broadcast(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> D
 
 def pair_up(
     left: DataFrame, right: DataFrame, key: str, max_pairs: int
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """All (left, right) rows of equal ``key``, listed only while a key stays narrow.
 
-    Returns the listed pairs, and for each key with more than ``max_pairs`` of
-    them the rows of either side: together these say the same as the full list
-    without a quadratic output. Column names of the two sides must differ.
+    Returns the listed pairs, and for the keys with more than ``max_pairs`` of
+    them the rows of either side (None when there is no such key): together
+    these say the same as the full list without a quadratic output. Column names
+    of the two sides must differ. The sizes are counted by a job of their own.
     """
     lefts = left.groupBy(key).agg(F.count("*").alias("_m"))
     rights = right.groupBy(key).agg(F.count("*").alias("_n"))
-    sizes = lefts.join(rights, key).select(
-        key, (F.col("_m").cast("double") * F.col("_n") > max_pairs).alias("_wide")
+    pairs = F.col("_m").cast("double") * F.col("_n")
+    most_left, most_right, most_pairs = (
+        lefts.join(rights, key, "full").agg(F.max("_m"), F.max("_n"), F.max(pairs)).first()
     )
+    limit = hot_row_limit(left)
+    if (most_pairs or 0) <= max_pairs and max(most_left or 0, most_right or 0) < limit:
+        return left.join(right, key), None, None
+    sizes = lefts.join(rights, key).select(key, (pairs > max_pairs).alias("_wide"))
     marked_left = salted_join(left, sizes, [key], hot=heaviest(lefts, [key], "_m"))
     marked_right = salted_join(right, sizes, [key], hot=heaviest(rights, [key], "_n"))
     narrow = marked_left.filter(~F.col("_wide")).drop("_wide").join(
