@@ -119,9 +119,11 @@ def no_props() -> Column:
 
 
 def put(old: Column, **named: Column) -> Column:
-    """Set properties, replacing those already there."""
+    """Set properties, replacing those already there; the map is filtered only when it has one of them."""
     names = list(named)
-    return F.map_concat(F.map_filter(old, lambda k, _: ~k.isin(*names)), props(**named))
+    present = reduce(Column.__or__, [F.map_contains_key(old, name) for name in names])
+    others = F.when(present, F.map_filter(old, lambda k, _: ~k.isin(*names))).otherwise(old)
+    return F.map_concat(others, props(**named))
 
 
 def head_label(labels: Column) -> Column:

@@ -118,13 +118,14 @@ def concept_labels(mapping: DataFrame) -> DataFrame:
 
 def classify(labels: DataFrame, examples: DataFrame) -> DataFrame:
     """Concept of each label by an example table (concept, label); null when none lists it."""
-    return labels.join(checked_broadcast(examples.select("label", "concept")), "label", "left")
+    return labels.join(checked_broadcast(examples.select("label", "concept"), settle=True), "label", "left")
 
 
 def mapping_checks(choices: DataFrame, schema: DataFrame) -> DataFrame:
     """Chosen identifier per label checked against the schema (label, key); faults are flagged, not dropped."""
-    known = checked_broadcast(schema.select("label", F.col("key").alias("property"), F.lit(True).alias("_known")))
-    seen = checked_broadcast(schema.select("label").distinct().withColumn("_seen", F.lit(True)))
+    schema = checked_broadcast(schema.select("label", "key").distinct(), settle=True)
+    known = schema.select("label", F.col("key").alias("property"), F.lit(True).alias("_known"))
+    seen = schema.select("label").distinct().withColumn("_seen", F.lit(True))
     message = F.concat(
         F.lit("Warning: '"), F.col("property"), F.lit("' was not found in the schema.")
     )
@@ -147,5 +148,5 @@ def label_suffixes(labels: DataFrame) -> DataFrame:
 
 def split_by_decision(candidates: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Candidates (concept) split by decisions (concept, kept, reason) into kept and removed."""
-    decided = candidates.join(checked_broadcast(decisions), "concept")
+    decided = candidates.join(checked_broadcast(decisions, settle=True), "concept")
     return decided.filter("kept").drop("kept"), decided.filter("NOT kept").drop("kept")

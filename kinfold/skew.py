@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
+from kinfold.session import ensure_checkpoint_dir
+
 HOT_ROWS = 1_000_000  # a key with this many rows is worth salting
 HOT_KEYS = 1_000  # at most this many keys are salted, so their list can be broadcast
 SALTS = 64
@@ -64,12 +66,16 @@ def salted_join(
     return salted_left.join(salted_right, keys + ["_salt"], how).drop("_salt")
 
 
-def checked_broadcast(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def checked_broadcast(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, settle: bool = False) -> DataFrame:
     """Broadcast a configuration-like table once its row count is known to be small.
 
-    The count is a job of its own, so use it on tables that are cheap to count.
-    A larger table comes back without the hint and Spark joins it by shuffle.
+    The count is a job of its own. ``settle`` writes a derived table to a
+    checkpoint first, so that it is worked out once. A larger table comes back
+    without the hint and Spark joins it by shuffle.
     """
+    if settle:
+        ensure_checkpoint_dir(table.sparkSession)
+        table = table.checkpoint()
     return F.broadcast(table) if table.limit(max_rows + 1).count() <= max_rows else table
 
 
