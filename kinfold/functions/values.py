@@ -57,10 +57,3 @@ def is_source_node(labels: Column) -> Column:
     """No label equals its upper-case form; true for a node without labels."""
     return F.forall(labels, lambda label: label != F.upper(label))
 
-
-def remove_texts(value: Column, texts: list[str]) -> Column:
-    """Remove every occurrence of each text, one after the other."""
-    for text in texts:
-        value = F.replace(value, F.lit(text), F.lit(""))
-    return value
-

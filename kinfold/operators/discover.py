@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.functions.values import remove_texts
 from kinfold.model import PROPS, Graph, property_rows, value_rows
 from kinfold.skew import checked_broadcast
 
@@ -27,26 +26,35 @@ STRIP_RULES = {
 }
 
 
-def _strip_rule(key: str, texts: list[str]):
-    def rule(name: Column, prop: Column) -> Column:
-        cleaned = F.struct(
-            prop["dtype"].alias("dtype"),
-            prop["is_list"].alias("is_list"),
-            F.transform(prop["vals"], lambda value: remove_texts(value, texts)).alias("vals"),
-        )
-        return F.when(name == key, cleaned).otherwise(prop)
-
-    return rule
-
-
 def strip_texts(nodes: DataFrame, rules: dict[tuple[str, str], list[str]] = STRIP_RULES) -> DataFrame:
-    """Remove texts from property values, scalars and list elements alike; a narrow rewrite."""
-    for (label, key), texts in rules.items():
-        stripped = F.transform_values("props", _strip_rule(key, texts)).cast(PROPS)
-        nodes = nodes.withColumn(
-            "props", F.when(F.array_contains("labels", label), stripped).otherwise(F.col("props"))
+    """Remove texts from property values, scalars and list elements alike; a narrow rewrite.
+
+    The texts that hold for a record and key are gathered into one array, so the
+    expression grows with the number of rules and no faster.
+    """
+    nothing = F.array().cast("array<string>")
+
+    def texts(name: Column) -> Column:
+        parts = [
+            F.when(F.array_contains("labels", label) & (name == key), F.array(*[F.lit(x) for x in removed])).otherwise(
+                nothing
+            )
+            for (label, key), removed in rules.items()
+        ]
+        return F.concat(*parts)
+
+    def cleaned(name: Column, prop: Column) -> Column:
+        values = F.transform(
+            prop["vals"],
+            lambda value: F.aggregate(texts(name), value, lambda rest, text: F.replace(rest, text, F.lit(""))),
         )
-    return nodes
+        return F.struct(prop["dtype"].alias("dtype"), prop["is_list"].alias("is_list"), values.alias("vals"))
+
+    labels = F.array(*[F.lit(label) for label in sorted({label for label, _ in rules})])
+    ruled = F.arrays_overlap("labels", labels)
+    return nodes.withColumn(
+        "props", F.when(ruled, F.transform_values("props", cleaned).cast(PROPS)).otherwise(F.col("props"))
+    )
 
 
 def property_overlap(graph: Graph, min_shared: int = 1) -> DataFrame:

@@ -98,12 +98,16 @@ def pair_up(
     limit = hot_row_limit(left)
     if (most_pairs or 0) <= max_pairs and max(most_left or 0, most_right or 0) < limit:
         return left.join(right, key), None, None
+    hot_left, hot_right = heaviest(lefts, [key], "_m"), heaviest(rights, [key], "_n")
     sizes = lefts.join(rights, key).select(key, (pairs > max_pairs).alias("_wide"))
-    marked_left = salted_join(left, sizes, [key], hot=heaviest(lefts, [key], "_m"))
-    marked_right = salted_join(right, sizes, [key], hot=heaviest(rights, [key], "_n"))
+    marked_left = salted_join(left, sizes, [key], hot=hot_left)
+    marked_right = salted_join(right, sizes, [key], hot=hot_right)
+    # A hot key without a partner is gone by now, so no key has more than max_pairs rows here.
     narrow = marked_left.filter(~F.col("_wide")).drop("_wide").join(
         marked_right.filter(~F.col("_wide")).drop("_wide"), key
     )
+    if (most_pairs or 0) <= max_pairs:
+        return narrow, None, None
     return (
         narrow,
         marked_left.filter("_wide").drop("_wide"),

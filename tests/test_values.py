@@ -39,12 +39,6 @@ def test_label_case(spark):
     assert one(spark, rows, "v string", values.is_upper_label(F.col("v"))) == [True, False, False]
 
 
-def test_remove_texts(spark):
-    rows = [("EC:1 GO:2EC:",), ("skos:exactMatch x",)]
-    cleaned = values.remove_texts(F.col("v"), ["EC:", "skos:exactMatch ", "GO:"])
-    assert one(spark, rows, "v string", cleaned) == ["1 2", "x"]
-
-
 def test_json_shapes(spark):
     rows = [
         ('{"a": 1}',),
