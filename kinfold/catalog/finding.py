@@ -68,6 +68,7 @@ def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         "quality",
         "toxic",
+        "lang",
         (F.col("n_chars") % 13).cast("int").alias("score"),
         (F.col("doc_id") * 37 % 101).cast("double").alias("confidence"),
         F.concat(F.lit("lang "), F.col("lang")).alias("reasoning"),
@@ -89,7 +90,7 @@ def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("doc_id") % 4 > 0, F.lit("researched")).alias("research_reasoning"),
     )
     verdicts = routing.checked_verdicts(
-        rows.filter("doc_id % 5 > 0").select(
+        rows.filter("lang <> 'fr'").select(
             "label",
             "key",
             (F.col("toxic") == 1).alias("justified"),
@@ -259,11 +260,11 @@ QUERIES = {
 }
 
 _RAW_SCORES = """
-d AS (SELECT source AS label, CAST(doc_id AS VARCHAR) AS key, doc_id, quality, toxic, CAST(n_chars % 13 AS INTEGER) AS raw_score,
+d AS (SELECT source AS label, CAST(doc_id AS VARCHAR) AS key, doc_id, quality, toxic, lang, CAST(n_chars % 13 AS INTEGER) AS raw_score,
              CAST(doc_id * 37 % 101 AS DOUBLE) AS raw_confidence, 'lang ' || lang AS raw_reasoning
       FROM labels JOIN documents USING (doc_id)),
 a AS (SELECT *, NOT (raw_score BETWEEN 0 AND 10 AND raw_confidence BETWEEN 0 AND 100) AS faulty FROM d),
-s AS (SELECT label, key, doc_id, quality, toxic, faulty,
+s AS (SELECT label, key, doc_id, quality, toxic, lang, faulty,
              CASE WHEN faulty THEN 5 ELSE raw_score END AS score,
              CASE WHEN faulty THEN 50.0 ELSE raw_confidence END AS confidence,
              CASE WHEN faulty THEN 'Fallback assignment due to an unusable answer' ELSE raw_reasoning END AS reasoning
@@ -277,9 +278,9 @@ f AS (SELECT *, CASE WHEN escalated AND quality = 1 AND doc_id % 3 > 0 THEN CAST
 b AS (SELECT *, coalesce(research_score, score) AS before_score,
              coalesce(research_reasoning, reasoning) AS before_reasoning FROM f),
 j AS (SELECT *, before_score BETWEEN 3 AND 6 OR doc_id % 10 = 0 AS judged FROM b),
-w AS (SELECT *, doc_id % 5 > 0 AND NOT (doc_id % 2 = 0 AND doc_id % 12 > 10) AS usable FROM j),
+w AS (SELECT *, lang <> 'fr' AND NOT (doc_id % 2 = 0 AND doc_id % 12 > 10) AS usable FROM j),
 x AS (SELECT *, CASE WHEN judged THEN CASE WHEN usable THEN toxic = 1 ELSE TRUE END END AS justified,
-             CASE WHEN judged AND doc_id % 5 > 0 THEN CASE WHEN usable THEN 'not shown'
+             CASE WHEN judged AND lang <> 'fr' THEN CASE WHEN usable THEN 'not shown'
                   ELSE 'Fallback due to an unusable verdict' END END AS correction FROM w),
 z AS (SELECT label, key, score, confidence, reasoning, escalated, research_score, research_reasoning, before_score,
              before_reasoning, judged, justified, correction,
