@@ -144,9 +144,16 @@ def graph_type(dtype: Column, is_list: Column) -> Column:
 
 def property_rows(nodes: DataFrame) -> DataFrame:
     """One row per record property: id, labels, key, dtype, is_list, vals."""
-    return nodes.select("id", "labels", F.explode("props").alias("key", "p")).select(
-        "id", "labels", "key", "p.dtype", "p.is_list", "p.vals"
-    )
+    return each_property(nodes, "id", "labels").select("id", "labels", "key", "p.dtype", "p.is_list", "p.vals")
+
+
+def each_property(rows: DataFrame, *columns: str) -> DataFrame:
+    """One row per entry of ``props`` as ``key`` and ``p``.
+
+    A plain ``explode`` gets a filter on the map's size inferred below it, which
+    works out a map that is still an expression a second time.
+    """
+    return rows.select(*columns, F.explode_outer("props").alias("key", "p")).filter("key IS NOT NULL")
 
 
 def value_rows(graph: Graph) -> DataFrame:
@@ -165,6 +172,5 @@ def value_rows(graph: Graph) -> DataFrame:
 
 
 def edge_property_rows(edges: DataFrame) -> DataFrame:
-    return edges.select(
-        "src", "src_labels", "dst", "dst_labels", "rel", F.explode("props").alias("key", "p")
-    ).select("src", "src_labels", "dst", "dst_labels", "rel", "key", "p.dtype", "p.is_list", "p.vals")
+    ends = ["src", "src_labels", "dst", "dst_labels", "rel"]
+    return each_property(edges, *ends).select(*ends, "key", "p.dtype", "p.is_list", "p.vals")
