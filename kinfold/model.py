@@ -111,7 +111,7 @@ def props(**named: Column) -> Column:
     """Property map from columns that are never null."""
     if not named:
         return no_props()
-    return F.create_map(*[part for key, value in named.items() for part in (F.lit(key), value)]).cast(PROPS)
+    return F.create_map(*[part for key, value in named.items() for part in (F.lit(key), value)])
 
 
 def no_props() -> Column:

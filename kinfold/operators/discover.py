@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.model import PROPS, Graph, property_rows, value_rows
+from kinfold.model import Graph, property_rows, value_rows
 from kinfold.skew import checked_broadcast
 
 UNCLASSIFIED = "UNCLASSIFIED"
@@ -53,7 +53,7 @@ def strip_texts(nodes: DataFrame, rules: dict[tuple[str, str], list[str]] = STRI
     labels = F.array(*[F.lit(label) for label in sorted({label for label, _ in rules})])
     ruled = F.arrays_overlap("labels", labels)
     return nodes.withColumn(
-        "props", F.when(ruled, F.transform_values("props", cleaned).cast(PROPS)).otherwise(F.col("props"))
+        "props", F.when(ruled, F.transform_values("props", cleaned)).otherwise(F.col("props"))
     )
 
 

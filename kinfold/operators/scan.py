@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinfold.model import Graph, property_rows, vals
+from kinfold.model import Graph, property_rows, scalar, vals
 
 
 def nodes_with_label(nodes: DataFrame, label: str) -> DataFrame:
@@ -69,15 +69,13 @@ def property_samples(nodes: DataFrame, limit: int = 5) -> DataFrame:
 
 def save_record(nodes: DataFrame, label: str, record_id: Column, **values: Column) -> DataFrame:
     """Node rows from the columns of a table; null columns give no property. Append them to a store."""
-    from kinfold.model import PROPS, scalar
-
     entries = [
         F.when(value.isNotNull(), F.struct(F.lit(key).alias("key"), scalar(value).alias("value")))
         for key, value in values.items()
     ]
     present = F.map_from_entries(F.array_compact(F.array(*entries)))
     return nodes.select(
-        record_id.cast("bigint").alias("id"), F.array(F.lit(label)).alias("labels"), present.cast(PROPS).alias("props")
+        record_id.cast("bigint").alias("id"), F.array(F.lit(label)).alias("labels"), present.alias("props")
     )
 
 

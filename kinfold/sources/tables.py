@@ -59,8 +59,10 @@ def _listing(values: str, dtype: str = "String") -> str:
 
 
 def _props(properties: dict[str, str]) -> str:
+    if not properties:
+        return f"CAST(map() AS {PROPS})"
     pairs = ", ".join(f"'{key}', {value}" for key, value in properties.items())
-    return f"CAST(map({pairs}) AS {PROPS})"
+    return f"map({pairs})"
 
 
 def _nodes(rows: DataFrame, label: str, record_id: str, **properties: str) -> DataFrame:
