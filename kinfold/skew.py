@@ -19,17 +19,28 @@ def hot_row_limit(frame: DataFrame) -> int:
 
 
 def hot_keys(rows: DataFrame, keys: list[str]) -> DataFrame | None:
-    """The heaviest keys above the limit, or None when there are none.
+    """The heaviest keys, or None when there are none.
 
-    A job of its own that reads the key columns only and combines on the map
-    side. At most ``HOT_KEYS`` keys come to the driver.
+    A job of its own that reads the key columns only. With the usual limit it
+    counts one row in a thousand, where a hot key still shows up about a
+    thousand times; a small limit counts all rows. The count merely decides
+    which keys the join spreads out: the join itself reads every row. At most
+    ``HOT_KEYS`` keys come to the driver.
     """
-    return heaviest(rows.groupBy(*keys).agg(F.count("*").alias("_n")), keys, "_n")
+    limit = hot_row_limit(rows)
+    fraction = min(1.0, 1_000 / limit)
+    if fraction < 1:
+        rows, limit = rows.sample(fraction, seed=11), int(limit * fraction / 2)
+    return _top(rows.groupBy(*keys).agg(F.count("*").alias("_n")), keys, "_n", limit)
 
 
 def heaviest(counts: DataFrame, keys: list[str], count: str) -> DataFrame | None:
     """``hot_keys`` on rows already counted per key."""
-    top = counts.filter(F.col(count) >= hot_row_limit(counts)).orderBy(F.desc(count)).limit(HOT_KEYS).select(*keys)
+    return _top(counts, keys, count, hot_row_limit(counts))
+
+
+def _top(counts: DataFrame, keys: list[str], count: str, limit: int) -> DataFrame | None:
+    top = counts.filter(F.col(count) >= limit).orderBy(F.desc(count)).limit(HOT_KEYS).select(*keys)
     rows = top.collect()
     return counts.sparkSession.createDataFrame(rows, top.schema) if rows else None
 
