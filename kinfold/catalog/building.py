@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinfold.catalog import sql
 from kinfold.functions.values import is_valid, strip
-from kinfold.model import Graph, listing, props, scalar, vals
+from kinfold.model import Graph, empty, listing, props, scalar, vals
 from kinfold.operators import link, resolve
 from kinfold.operators.link import EdgeDefinition
 from kinfold.operators.resolve import Blueprint
@@ -139,6 +139,7 @@ def value_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def value_link_hubs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nation keys shared by more than 250 pairs come as hub members, the others as edges."""
     edges, hubs = link.value_links(_partners(spark, sf_dir), SAME_NATION, max_pairs=250)
+    hubs = empty(spark, "hubs") if hubs is None else hubs
     listed = edges.select(
         F.lit("pair").alias("side"),
         F.col("src").alias("id"),
