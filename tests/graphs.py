@@ -1,6 +1,6 @@
 """Small hand-made graphs."""
 
-from kinfold.model import EDGE, NODE, Graph, edge_property_rows, value_rows
+from kinfold.model import EDGE, NODE, Graph, value_rows
 
 TYPES = ((bool, "Boolean"), (int, "Long"), (float, "Double"), (str, "String"))
 
@@ -53,4 +53,4 @@ def rows(frame):
     return sorted(tuple(row) for row in frame.collect())
 
 
-__all__ = ["edge_property_rows", "edge_props", "edge_set", "graph", "node_values", "prop", "props", "rows"]
+__all__ = ["edge_props", "edge_set", "graph", "node_values", "prop", "props", "rows"]
