@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+ROOT = str(Path(__file__).resolve().parents[2])
 SLICE = 256  # rows turned into Python strings at once
 
 
+def in_arrow(frame: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` whose Python workers find this package, where it is not installed on the executors' path."""
+    environment = frame.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(path for path in [ROOT, *paths] if path)
+    return frame.mapInArrow(run, schema)
+
+
 def per_text(
     docs: DataFrame, build: Callable[[], Callable[[str], tuple]], fields: str, text: str = "text", keys: tuple = ("doc_id",)
 ) -> DataFrame:
@@ -37,7 +49,7 @@ def per_text(
                 )
 
     arrow_types = _arrow_types(schema)
-    return narrow.mapInArrow(run, schema)
+    return in_arrow(narrow, run, schema)
 
 
 def _arrow_types(schema: StructType) -> list[pa.DataType]:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from kinfold.llm.batches import per_text
+from kinfold.llm.batches import in_arrow, per_text
 from kinfold.llm.words import Memory, latin_pieces, spaced_words
 
 
@@ -169,7 +169,7 @@ def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", keys: tupl
             decoded = pa.array([decode(row) for row in batch.column("_ids").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch.column(key) for key in keys), decoded], names=schema.names)
 
-    return narrow.mapInArrow(run, schema)
+    return in_arrow(narrow, run, schema)
 
 
 def digest_documents(docs: DataFrame, path: str, text: str = "text", keys: tuple = ("doc_id",)) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kinfold.llm import byte_bpe, token_count
+from kinfold.llm import byte_bpe, simhash, token_count, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,14 +17,72 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest_documents(_table(spark, sf_dir, "documents"), path)
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), path)
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = simhash.fingerprints(_table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(marked).select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_url_filter": op2_url_filter,
     "op3_token_counts": op3_token_counts,
+    "op6_simhash": op6_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+# Aliases by a recursive walk over the links in the html, in the dialect of DuckDB.
+OP2_SQL = r"""
+WITH RECURSIVE
+parts AS (
+  SELECT page_id, url, html,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages),
+rules(rule_host, rule_path, said) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+tags AS (
+  SELECT url, regexp_extract(unnest(regexp_extract_all(html, '(?i)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>')), '(?i)\bhref\s*=\s*["'']?([^"''\s>]*)', 1) AS target FROM pages WHERE url LIKE '%://%'
+  UNION ALL
+  SELECT url, regexp_extract(unnest(regexp_extract_all(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>')), '(?i)\burl\s*=\s*["'']?([^"''\s>]*)', 1) FROM pages WHERE url LIKE '%://%'),
+full_targets AS (
+  SELECT url, CASE
+    WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
+    WHEN t LIKE '//%' THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || t
+    WHEN t LIKE '/%' THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || t
+    WHEN t LIKE '?%' THEN regexp_extract(url, '(?s)^(.*?://[^?#]*)', 1) || t
+    WHEN t LIKE '#%' THEN url
+    WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    ELSE regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || coalesce(nullif(regexp_extract(url, '(?s)^.*?://[^/?#]*((?:/[^?#]*/|/)?)', 1), ''), '/') || t END AS target
+  FROM (SELECT url, replace(target, '&amp;', '&') AS t FROM tags WHERE target <> '')),
+bare AS (
+  SELECT regexp_extract(url, '(?s)^\s*([^#]*)', 1) AS a, regexp_extract(target, '(?s)^\s*([^#]*)', 1) AS b FROM full_targets WHERE target LIKE '%://%'),
+links AS (
+  SELECT lower(regexp_extract(a, '(?s)^(.*?://[^/?]*)', 1)) || substr(a, length(regexp_extract(a, '(?s)^(.*?://[^/?]*)', 1)) + 1) AS a,
+         lower(regexp_extract(b, '(?s)^(.*?://[^/?]*)', 1)) || substr(b, length(regexp_extract(b, '(?s)^(.*?://[^/?]*)', 1)) + 1) AS b
+  FROM bare),
+ends AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, a FROM ends UNION SELECT reach.a, ends.b FROM reach JOIN ends ON ends.a = reach.b),
+ruled AS (
+  SELECT node, arg_max(said, length(rule_host) + length(rule_path)) AS said
+  FROM (SELECT DISTINCT a AS node, lower(regexp_extract(a, '(?s)^.*?://([^/?#]*)', 1)) AS host, regexp_extract(a, '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM ends), rules
+  WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY node),
+aliased AS (
+  SELECT reach.a AS node FROM reach JOIN ruled ON ruled.node = reach.b GROUP BY 1 HAVING bool_or(said = 'block') AND NOT bool_or(said = 'allow')),
+own AS (
+  SELECT page_id, url, host, path, arg_max(rule_host || rule_path, length(rule_host) + length(rule_path)) AS rule, arg_max(said, length(rule_host) + length(rule_path)) AS said
+  FROM parts LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY page_id, url, host, path),
+keyed AS (SELECT *, regexp_extract(url, '(?s)^\s*([^#]*)', 1) AS plain FROM own)
+SELECT page_id, host, path, rule, coalesce(said, CASE WHEN aliased.node IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM keyed LEFT JOIN aliased ON aliased.node = lower(regexp_extract(plain, '(?s)^(.*?://[^/?]*)', 1)) || substr(plain, length(regexp_extract(plain, '(?s)^(.*?://[^/?]*)', 1)) + 1)
+"""
+
+ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL}
