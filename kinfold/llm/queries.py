@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kinfold.llm import byte_bpe, simhash, token_count, url_filter
+from kinfold.llm import byte_bpe, quality, secret_scan, simhash, token_count, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,11 +31,21 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(marked).select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_url_filter": op2_url_filter,
     "op3_token_counts": op3_token_counts,
     "op6_simhash": op6_simhash,
+    "op7_quality": op7_quality,
+    "op8_secret_scan": op8_secret_scan,
 }
 
 # Aliases by a recursive walk over the links in the html, in the dialect of DuckDB.
