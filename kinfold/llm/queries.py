@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kinfold.llm import byte_bpe, quality, secret_scan, simhash, token_count, url_filter
+from kinfold.llm import byte_bpe, pii, quality, secret_scan, simhash, token_count, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), path)
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = simhash.fingerprints(_table(spark, sf_dir, "documents"))
     return simhash.near_duplicates(marked).select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
@@ -43,6 +47,7 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_url_filter": op2_url_filter,
     "op3_token_counts": op3_token_counts,
+    "op4_pii": op4_pii,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
     "op8_secret_scan": op8_secret_scan,

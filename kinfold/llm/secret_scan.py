@@ -122,7 +122,7 @@ def scan(docs: DataFrame, text: str = "text", keys: tuple = ("doc_id",), scope:
         )
     )
     # Texts without parts look for a key of their own, so that they stay spread out.
-    own = F.coalesce(F.col("_digest"), F.uuid()).alias("_key")
+    own = F.coalesce(F.col("_digest"), F.concat(F.lit("-"), F.xxhash64(*keys, "_text").cast("string"))).alias("_key")
     rows = marked.select(*keys, own)
     zero = {f"n_{kind}": F.lit(0).cast("bigint") for kind in BASE} | {"n_linked": F.lit(0).cast("bigint")}
     none = zero | {"base_sha256": F.sha2(F.lit(""), 256), "spans": F.lit("")}
