@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kinfold.llm import byte_bpe, pii, quality, secret_scan, simhash, token_count, url_filter
+from kinfold.llm import byte_bpe, embed_dedup, pii, quality, secret_scan, simhash, token_count, topk, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +44,14 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op9_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_url_filter": op2_url_filter,
@@ -51,6 +60,8 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
     "op8_secret_scan": op8_secret_scan,
+    "op9_embed_dedup": op9_embed_dedup,
+    "op10_topk": op10_topk,
 }
 
 # Aliases by a recursive walk over the links in the html, in the dialect of DuckDB.
@@ -100,4 +111,32 @@ SELECT page_id, host, path, rule, coalesce(said, CASE WHEN aliased.node IS NOT N
 FROM keyed LEFT JOIN aliased ON aliased.node = lower(regexp_extract(plain, '(?s)^(.*?://[^/?]*)', 1)) || substr(plain, length(regexp_extract(plain, '(?s)^(.*?://[^/?]*)', 1)) + 1)
 """
 
-ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL}
+_USABLE = "embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+OP9_SQL = f"""
+WITH RECURSIVE
+usable AS (
+  SELECT row_number() OVER () AS n, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND {_USABLE}),
+vectors AS (SELECT *, sqrt(list_inner_product(e, e)) AS length FROM usable WHERE list_inner_product(e, e) > 0),
+links AS (
+  SELECT a.n AS a, b.n AS b, a.vec_id AS id, b.vec_id AS other FROM vectors a JOIN vectors b ON a.label = b.label AND a.n <> b.n AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / (a.length * b.length) >= 0.98),
+reach(a, b) AS (SELECT a, a FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+counted AS (SELECT id, count(*) AS n_links FROM links GROUP BY id),
+least AS (SELECT s.vec_id AS id, min(t.vec_id) AS component FROM reach JOIN vectors s ON s.n = reach.a JOIN vectors t ON t.n = reach.b GROUP BY 1)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, coalesce(component, e.vec_id) AS component_id, coalesce(component, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN counted ON counted.id = e.vec_id LEFT JOIN least ON least.id = e.vec_id
+"""
+
+OP10_SQL = f"""
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings WHERE vec_id IS NOT NULL AND {_USABLE}),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS nth FROM scores)
+SELECT query_id, CAST(nth AS INTEGER) AS rank, vec_id, score FROM ranked WHERE nth <= 10
+"""
+
+ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op9_embed_dedup": OP9_SQL, "op10_topk": OP10_SQL}
