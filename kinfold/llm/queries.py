@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm import byte_bpe, embed_dedup, pii, quality, secret_scan, simhash, token_count, topk, url_filter
+from kinfold.llm import byte_bpe, embed_dedup, packing, pii, quality, secret_scan, simhash, token_count, topk, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), path)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = simhash.fingerprints(_table(spark, sf_dir, "documents"))
     return simhash.near_duplicates(marked).select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
@@ -57,6 +62,7 @@ QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op3_token_counts": op3_token_counts,
     "op4_pii": op4_pii,
+    "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
     "op8_secret_scan": op8_secret_scan,
