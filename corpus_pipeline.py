@@ -1,17 +1,53 @@
-"""The corpus pipeline: quality classifier, near-dedup, secret scans, packing."""
+"""The corpus pipeline: quality classifier, SimHash near-dedup, secret scans, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
+kept; all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from kinfold.llm import packing, quality, secret_scan, simhash
+from kinfold.llm.components import settled
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one of smallest id."""
+    return simhash.drop_near_duplicates(docs)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the texts; all documents stay."""
+    return secret_scan.redact(docs)
+
+
+def lexical_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, by sequence."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("simhash near-dedup", simhash_near_dedup),
+    ("secret scans", secret_scans),
+    ("packing", lexical_packing),
+]
 
-ORACLE_SQL = None  # stages that SQL cannot express
+ORACLE_SQL = None  # SQL has neither the fit nor the hashes; tests/llm compares with a brute-force version
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; what a stage keeps is written to the checkpoint folder and read from there."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for number, (_, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES):
+            docs = settled(docs)
     return docs
