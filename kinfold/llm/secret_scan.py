@@ -36,9 +36,11 @@ def _valid() -> Column:
 
 
 def _digested(docs: DataFrame, text: str) -> DataFrame:
-    """``_text`` and ``_digest``, the text's SHA-256 where a part may be in it, else null."""
-    value = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return docs.withColumn("_text", value).withColumn("_digest", F.when(F.col("_text").rlike(ANY), F.sha2("_text", 256)))
+    """``_all`` (the row), ``_text`` and ``_digest``, the text's SHA-256 where a part may be in it, else null."""
+    value = F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text")
+    return docs.select(F.struct("*").alias("_all"), value).withColumn(
+        "_digest", F.when(F.col("_text").rlike(ANY), F.sha2("_text", 256))
+    )
 
 
 def _hits(kind: str, pattern: str) -> Column:
@@ -122,8 +124,9 @@ def scan(docs: DataFrame, text: str = "text", keys: tuple = ("doc_id",), scope:
         )
     )
     # Texts without parts look for a key of their own, so that they stay spread out.
-    own = F.coalesce(F.col("_digest"), F.concat(F.lit("-"), F.xxhash64(*keys, "_text").cast("string"))).alias("_key")
-    rows = marked.select(*keys, own)
+    own = [F.col("_all")[key].alias(key) for key in keys]
+    apart = F.concat(F.lit("-"), F.xxhash64(*own, "_text").cast("string"))
+    rows = marked.select(*own, F.coalesce("_digest", apart).alias("_key"))
     zero = {f"n_{kind}": F.lit(0).cast("bigint") for kind in BASE} | {"n_linked": F.lit(0).cast("bigint")}
     none = zero | {"base_sha256": F.sha2(F.lit(""), 256), "spans": F.lit("")}
     columns = [*(f"n_{kind}" for kind in BASE), "base_sha256", "spans", "n_linked"]
@@ -133,8 +136,8 @@ def scan(docs: DataFrame, text: str = "text", keys: tuple = ("doc_id",), scope:
 def redact(docs: DataFrame, text: str = "text", scope: int = SCOPE, mask: str = MASK) -> DataFrame:
     """All rows and columns, with ``mask`` in the text in place of each span; overlapping spans are masked as one.
 
-    Rows without spans are not shuffled. A column ``n_chars`` is counted anew.
-    Columns named ``_text`` or ``_digest`` must not exist.
+    Rows without spans are not shuffled. A column ``n_chars`` is counted anew
+    where the text changes; a null text stays null.
     """
     marked, spans = _per_text(docs, text, scope)
     intervals = F.transform("found", lambda s: F.struct(s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end")))
@@ -159,9 +162,8 @@ def redact(docs: DataFrame, text: str = "text", scope: int = SCOPE, mask: str =
     rest = F.substr(F.col("_text"), F.element_at("_spans", -1)["end"] + 1)
     masked = F.concat(F.array_join(F.transform("_spans", lambda s, i: F.concat(gap(s, i), F.lit(mask))), ""), rest)
     hit = marked.filter("_digest is not null").join(known, "_digest", "left")
-    hit = hit.withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(masked))
+    changed = F.col("_all").withField(text, masked)
     if "n_chars" in docs.columns and text != "n_chars":
-        kind = docs.schema["n_chars"].dataType
-        hit = hit.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length(text).cast(kind)))
-    clean = marked.filter("_digest is null")
-    return clean.select(docs.columns).unionByName(hit.select(docs.columns))
+        changed = changed.withField("n_chars", F.length(masked).cast(docs.schema["n_chars"].dataType))
+    hit = hit.withColumn("_all", F.when(F.col("_spans").isNull(), F.col("_all")).otherwise(changed))
+    return marked.filter("_digest is null").select("_all.*").unionByName(hit.select("_all.*"))

@@ -283,16 +283,14 @@ def hexadecimal(fp: str = "fp"):
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row of each component, the one of smallest id (then smallest text hash); all columns stay.
 
-    Rows with a null id go last, repeated rows are one. Columns named ``_row`` or
-    ``_hash`` must not exist.
+    A null id goes after all others. Rows that repeat an id and text are one row. A
+    null text counts as empty, and all blank texts are one component.
     """
-    hashed = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    rows = docs.select(F.col(doc_id).alias("_row"), hashed.alias("_hash"), F.col(text).alias("text"))
-    found = near_duplicates(fingerprints(rows, keys=("_row", "_hash")), doc_id="_row")
-    # A null id sorts after all others.
-    order = F.struct(F.col("_row").isNull().alias("last"), "_row", "_hash")
-    kept = settled(found.groupBy("component").agg(F.min(order).alias("kept")).select("kept._row", "kept._hash"))
-    keyed = docs.withColumns({"_row": F.col(doc_id), "_hash": hashed}).alias("d")
-    k = kept.alias("k")
-    same = F.col("d._row").eqNullSafe(F.col("k._row")) & (F.col("d._hash") == F.col("k._hash"))
-    return keyed.join(k, same, "left_semi").dropDuplicates(["_row", "_hash"]).select(docs.columns)
+    row, hashed = F.col(doc_id).alias("row"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("hash")
+    rows = docs.select(row, hashed, F.col(text).alias("text"))
+    found = near_duplicates(fingerprints(rows, keys=("row", "hash")), doc_id="row")
+    order = F.struct(F.col("row").isNull().alias("last"), "row", "hash")
+    kept = settled(found.groupBy("component").agg(F.min(order).alias("kept")).select("kept.row", "kept.hash")).alias("k")
+    whole = docs.select(F.struct("*").alias("all"), row, hashed).alias("d")
+    same = F.col("d.row").eqNullSafe(F.col("k.row")) & (F.col("d.hash") == F.col("k.hash"))
+    return whole.join(kept, same, "left_semi").dropDuplicates(["row", "hash"]).select("all.*")
