@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinfold.catalog import sql
 from kinfold.functions.values import is_valid, strip
-from kinfold.model import Graph, empty, listing, props, scalar, vals
+from kinfold.model import Graph, listing, props, scalar, vals
 from kinfold.operators import link, resolve
 from kinfold.operators.link import EdgeDefinition
 from kinfold.operators.resolve import Blueprint
@@ -45,7 +45,7 @@ def grouped_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 GROUP = Blueprint("GROUP", {"a": ("Src_Customer", "a"), "b": ("Src_Customer", "b")})
 TEXT = Blueprint(
-    "TEXT", {"whole": ("Src_Document", "text_md5"), "first": ("Src_Document", "first_line_md5")}
+    "TEXT", {"whole": ("Src_Document", "text_md5"), "letters": ("Src_Document", "letters_md5")}
 )
 
 
@@ -105,6 +105,16 @@ def concept_mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def concept_reruns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blueprints in two calls, the second one first and the first one twice: ids do not depend on it."""
+    nodes = tables.customer_nodes(spark, sf_dir).unionByName(tables.supplier_nodes(spark, sf_dir))
+    graph = Graph.of(nodes)
+    for blueprint in (PARTNERS[1], PARTNERS[0], PARTNERS[0]):
+        graph = resolve.integrate(graph, [blueprint])
+    own = graph.nodes.filter("id < 0").select("id", F.get("labels", F.lit(0)).alias("label"))
+    return own.join(graph.edges.select(F.col("dst").alias("id"), "src"), "id", "left")
+
+
 def drop_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     graph = resolve.drop_label(tables.table_graph(spark, sf_dir), "Src_Part")
     nodes = graph.nodes.groupBy(F.get("labels", F.lit(0)).alias("name")).agg(F.count("*").alias("n"))
@@ -132,22 +142,13 @@ def _partners(spark: SparkSession, sf_dir: str) -> Graph:
 
 
 def value_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges, _ = link.value_links(_partners(spark, sf_dir), SAME_NUMBER)
-    return _edge_rows(edges)
+    return _edge_rows(link.value_links(_partners(spark, sf_dir), SAME_NUMBER))
 
 
 def value_link_hubs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation keys shared by more than 250 pairs come as hub members, the others as edges."""
-    edges, hubs = link.value_links(_partners(spark, sf_dir), SAME_NATION, max_pairs=250)
-    hubs = empty(spark, "hubs") if hubs is None else hubs
-    listed = edges.select(
-        F.lit("pair").alias("side"),
-        F.col("src").alias("id"),
-        F.col("dst").alias("other"),
-        F.get(vals(F.col("props"), "shared_value"), F.lit(0)).alias("value"),
-    )
-    members = hubs.select("side", "id", F.lit(-1).cast("bigint").alias("other"), F.col("hub").alias("value"))
-    return listed.unionByName(members)
+    """All links by nation key in factored form: the members of each shared key."""
+    members = link.link_members(_partners(spark, sf_dir), SAME_NATION)
+    return members.select("definition", "rel", "hub", "side", "id", F.get("labels", F.lit(0)).alias("label"))
 
 
 def pmid_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,8 +163,7 @@ def pmid_links(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.lit(link.REFERENCES.target_label)).alias("labels"),
         props(merged_ids=listing(F.array(F.concat(F.lit("PMID:"), order.cast("string")), F.lit("n/a")))).alias("props"),
     )
-    edges, _ = link.value_links(Graph.of(sources.unionByName(targets)), link.REFERENCES)
-    return _edge_rows(edges)
+    return _edge_rows(link.value_links(Graph.of(sources.unionByName(targets)), link.REFERENCES))
 
 
 def ontology_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,6 +193,7 @@ QUERIES = {
     "component_identifiers": component_identifiers,
     "concept_nodes": concept_nodes,
     "concept_mappings": concept_mappings,
+    "concept_reruns": concept_reruns,
     "drop_label": drop_label,
     "value_links": value_links,
     "value_link_hubs": value_link_hubs,
@@ -217,7 +218,7 @@ _GROUPS = (
 )
 _TEXTS = (
     f"SELECT {sql.DOCUMENT} AS id, md5(text) AS val FROM documents "
-    f"UNION ALL SELECT {sql.DOCUMENT}, md5(split_part(text, chr(10), 1)) FROM documents"
+    f"UNION ALL SELECT {sql.DOCUMENT}, md5('letters ' || regexp_replace(lower(text), '[^a-z]', '', 'g')) FROM documents"
 )
 # Concept nodes: cluster roots of the two blueprints and the raw values per cluster.
 _CONCEPTS = f"""
@@ -226,7 +227,7 @@ p AS (SELECT {sql.CUSTOMER} AS id, 'Src_Customer' AS label, c_name AS name, c_na
 v AS (SELECT id, label, 'PARTNER' AS concept, 0 AS ord, split_part(name, '#', 2) AS std, name AS raw FROM p
       UNION ALL SELECT id, label, 'DISTRICT', 1, CAST(nation AS VARCHAR), CAST(nation AS VARCHAR) FROM p),
 g AS (SELECT *, min(id) OVER (PARTITION BY concept, std) AS root FROM v),
-k AS (SELECT *, -(root * 256 + ord) - 1 AS concept_id, sha256(concept || ':' || root) AS universal_id FROM g)
+k AS (SELECT *, {sql.concept_id("concept || ':' || root")} AS concept_id, sha256(concept || ':' || root) AS universal_id FROM g)
 """
 
 ORACLES = {
@@ -246,7 +247,7 @@ SELECT id, 'TEXT' AS concept, sha256('TEXT:' || root) AS universal_id FROM c
 """,
     "component_identifiers": f"""
 WITH RECURSIVE {_reach(_GROUPS)}
-SELECT DISTINCT -(root * 256) - 1 AS concept_id, key, val FROM p JOIN c USING (id)
+SELECT DISTINCT {sql.concept_id("'GROUP:' || root")} AS concept_id, key, val FROM p JOIN c USING (id)
 """,
     "concept_nodes": f"""
 WITH {_CONCEPTS}
@@ -255,6 +256,10 @@ SELECT DISTINCT concept_id AS id, concept AS label, universal_id, 'true' AS mapp
     "concept_mappings": f"""
 WITH {_CONCEPTS}
 SELECT id AS src, label AS src_label, 'MAPPED_TO' AS rel, concept_id AS dst, concept AS dst_label FROM k
+""",
+    "concept_reruns": f"""
+WITH {_CONCEPTS}
+SELECT DISTINCT concept_id AS id, concept AS label, id AS src FROM k
 """,
     "drop_label": f"""
 WITH n AS ({sql.NODES}), e AS ({sql.EDGES})
@@ -268,15 +273,11 @@ SELECT {sql.SUPPLIER} AS src, {sql.CUSTOMER} AS dst, 'SAME_NUMBER' AS rel, split
 FROM supplier JOIN customer ON split_part(s_name, '#', 2) = split_part(c_name, '#', 2)
 """,
     "value_link_hubs": f"""
-WITH s AS (SELECT s_nationkey AS k, count(*) AS m FROM supplier GROUP BY 1),
-     c AS (SELECT c_nationkey AS k, count(*) AS n FROM customer GROUP BY 1),
-     w AS (SELECT k, m * n > 250 AS wide FROM s JOIN c USING (k))
-SELECT 'pair' AS side, {sql.SUPPLIER} AS id, {sql.CUSTOMER} AS other, CAST(k AS VARCHAR) AS value
-FROM supplier JOIN w ON k = s_nationkey JOIN customer ON c_nationkey = k WHERE NOT wide
-UNION ALL
-SELECT 'src', {sql.SUPPLIER}, -1, CAST(k AS VARCHAR) FROM supplier JOIN w ON k = s_nationkey WHERE wide
-UNION ALL
-SELECT 'dst', {sql.CUSTOMER}, -1, CAST(k AS VARCHAR) FROM customer JOIN w ON k = c_nationkey WHERE wide
+WITH both_sides AS (SELECT s_nationkey AS k FROM supplier INTERSECT SELECT c_nationkey FROM customer),
+m AS (SELECT s_nationkey AS k, 'src' AS side, {sql.SUPPLIER} AS id, 'Src_Supplier' AS label FROM supplier
+      UNION ALL SELECT c_nationkey, 'dst', {sql.CUSTOMER}, 'Src_Customer' FROM customer)
+SELECT 'Src_Supplier|nationkey|Src_Customer|nationkey' AS definition, 'SAME_NATION' AS rel, CAST(k AS VARCHAR) AS hub,
+       side, id, label FROM m JOIN both_sides USING (k)
 """,
     "pmid_links": """
 SELECT event_id * 16 + 13 AS src, o_orderkey * 16 + 14 AS dst, 'REFERENCES' AS rel, 'PMID:' || user_id AS shared_value,

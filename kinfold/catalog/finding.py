@@ -107,10 +107,7 @@ def score_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    exported = files.score_export(_routed(spark, sf_dir))
-    return exported.select("label", F.explode("properties").alias("key", "entry")).select(
-        "label", "key", "entry.importance_score", "entry.rationale"
-    )
+    return files.score_export(_routed(spark, sf_dir))
 
 
 # --- answers in text --------------------------------------------------------

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.catalog import sql
 from kinfold.catalog.propagation import mapped_graph
-from kinfold.operators import profile, propagate
+from kinfold.operators import accession, combine, profile, propagate
 from kinfold.sources import tables
+from kinfold.sources.files import parse_accession_spec
 
 
 def schema_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +43,22 @@ def merged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("n", F.col("n").cast("bigint"))
 
 
+def final_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types of all node and edge properties after combining edges and assigning accessions."""
+    graph = combine.combine_edges(tables.table_graph(spark, sf_dir))
+    entry = {"secondary_accessions": {"properties": ["names", "words"], "reasoning": "r"}}
+    wanted = {"Src_Customer": ("id", None), "Src_Part": ("words", 1), "NATION": ("ids", None), "BRAND": ("names", 0)}
+    specs = [
+        (i, label, json.dumps(entry | {"primary_accession": {"property": prop, "index": index, "reasoning": "r"}}))
+        for i, (label, (prop, index)) in enumerate(wanted.items())
+    ]
+    spec = parse_accession_spec(spark.createDataFrame(specs, "ord int, label string, json string"))
+    done = accession.apply_accessions(graph, spec)
+    nodes = profile.node_property_types(done).select(F.lit("node").alias("part"), F.col("label").alias("name"), "key", "types")
+    edges = profile.edge_property_types(done).select(F.lit("edge").alias("part"), F.col("rel").alias("name"), "key", "types")
+    return nodes.unionByName(edges).withColumn("types", F.array_join("types", ","))
+
+
 def sample_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.sample_types(tables.table_graph(spark, sf_dir))
 
@@ -69,6 +88,7 @@ QUERIES = {
     "schema_counts": schema_counts,
     "property_profile": property_profile,
     "merged_profile": merged_profile,
+    "final_schema": final_schema,
     "sample_types": sample_types,
     "local_connections": local_connections,
     "unmapped_labels": unmapped_labels,
@@ -120,10 +140,26 @@ WITH m AS ({sql.MAPPED}),
 r AS (SELECT DISTINCT m.dst AS id, m.dst_label AS label, x.label || '__' || x.key AS key, x.dtype, TRUE AS is_list, x.val
       FROM ({sql.CUSTOMER_VALUES}) x JOIN m ON m.src = x.id WHERE x.key IN ('name', 'nationkey')),
 v AS (SELECT *, row_number() OVER (PARTITION BY id, key ORDER BY val) AS pos FROM r
-      UNION ALL BY NAME {sql.values(sql.NATION, "NATION", "names", "[n_name]", "nation")}),
+      UNION ALL BY NAME SELECT * FROM ({sql.CONCEPT_VALUES}) WHERE key = 'names'),
 {_SHOWN}
 SELECT label, key, CASE key WHEN 'Src_Customer__nationkey' THEN 'LongArray' ELSE 'StringArray' END AS type, n, sample
 FROM f WHERE n <= 3
+""",
+    "final_schema": f"""
+WITH v AS ({sql.ALL_VALUES}),
+t AS (SELECT DISTINCT label AS name, key, dtype || CASE WHEN is_list THEN 'Array' ELSE '' END AS type FROM v
+      UNION SELECT DISTINCT label, 'primary_accession',
+                   CASE WHEN label = 'NATION' THEN 'StringArray' ELSE 'String' END FROM v WHERE label IN ('Src_Customer', 'Src_Part', 'NATION', 'BRAND')
+      UNION SELECT DISTINCT label, 'secondary_accession', 'StringArray' FROM v
+            WHERE label IN ('Src_Customer', 'Src_Part', 'NATION', 'BRAND') AND key IN ('names', 'words')),
+x AS (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_returnflag, l_linestatus FROM lineitem),
+lines AS (SELECT 'HAS_LINE' AS name, 'linenumber' AS key, 'Long' AS dtype, count(DISTINCT l_linenumber) AS n FROM x GROUP BY l_orderkey, l_partkey
+          UNION ALL SELECT 'HAS_LINE', 'quantity', 'Double', count(DISTINCT l_quantity) FROM x GROUP BY l_orderkey, l_partkey
+          UNION ALL SELECT 'SUPPLIED_BY', 'returnflag', 'String', count(DISTINCT l_returnflag) FROM x GROUP BY l_partkey, l_suppkey
+          UNION ALL SELECT 'SUPPLIED_BY', 'linestatus', 'String', count(DISTINCT l_linestatus) FROM x GROUP BY l_partkey, l_suppkey),
+e AS (SELECT DISTINCT name, key, dtype || CASE WHEN n > 1 THEN 'Array' ELSE '' END AS type FROM lines)
+SELECT 'node' AS part, name, key, string_agg(type, ',' ORDER BY type) AS types FROM t GROUP BY name, key
+UNION ALL SELECT 'edge', name, key, string_agg(type, ',' ORDER BY type) FROM e GROUP BY name, key
 """,
     "sample_types": f"""
 WITH {_TYPES}

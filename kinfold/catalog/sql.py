@@ -10,6 +10,11 @@ PART_TYPE = "CAST('0x' || substr(md5(p_type), 1, 13) AS BIGINT) * 16 + 7"
 DOCUMENT = "doc_id * 16 + 8"
 
 
+def concept_id(identity: str) -> str:
+    """Node id of a concept by the text of its concept and smallest member."""
+    return f"-CAST('0x' || substr(md5({identity}), 1, 15) AS BIGINT) - 1"
+
+
 def value(node: str, label: str, key: str, expr: str, table: str, dtype: str = "String") -> str:
     return (
         f"SELECT {node} AS id, '{label}' AS label, '{key}' AS key, '{dtype}' AS dtype, FALSE AS is_list, "

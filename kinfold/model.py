@@ -11,10 +11,6 @@ kept as one row per value in ``node_values`` and ``edge_values``.
 Edges carry the labels of both ends. Labels never change after a node is made,
 so this copy is safe, and it turns every label test on an edge (deletion,
 schema edges, label patterns) into a filter instead of two joins.
-
-``hubs`` is the factored form of link groups too wide to list pair by pair:
-every ``src`` member of a hub is linked to every ``dst`` member by ``rel``
-(side ``any``: every two different members, smaller id first).
 """
 
 from __future__ import annotations
@@ -35,29 +31,26 @@ EDGE = f"src bigint, src_labels array<string>, dst bigint, dst_labels array<stri
 NODE_VALUE = "id bigint, labels array<string>, key string, dtype string, pos bigint, val string"
 EDGE_VALUE = (
     "src bigint, src_labels array<string>, dst bigint, dst_labels array<string>, "
-    "rel string, key string, dtype string, val string"
+    "rel string, key string, dtype string, is_list boolean, val string"
 )
-HUB = f"rel string, hub string, side string, id bigint, labels array<string>, props {PROPS}"
 
 SCHEMAS = {
     "nodes": NODE,
     "edges": EDGE,
     "node_values": NODE_VALUE,
     "edge_values": EDGE_VALUE,
-    "hubs": HUB,
 }
 COLUMNS = {name: [part.split()[0] for part in _fields.split(", ")] for name, _fields in SCHEMAS.items()}
 
 
 @dataclass(frozen=True)
 class Graph:
-    """The five tables; the last three are None while they have no rows."""
+    """The four tables; the last two are None while they have no rows."""
 
     nodes: DataFrame
     edges: DataFrame
     node_values: DataFrame | None = None
     edge_values: DataFrame | None = None
-    hubs: DataFrame | None = None
 
     @classmethod
     def of(cls, nodes: DataFrame, edges: DataFrame | None = None) -> "Graph":

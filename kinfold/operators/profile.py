@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinfold.functions.names import column_names, quote
+from kinfold.functions.names import column_names
 from kinfold.functions.values import is_upper_label
 from kinfold.model import (
     MAPPED_TO,
@@ -55,7 +55,13 @@ def edge_property_types(graph: Graph) -> DataFrame:
     own = edge_property_rows(graph.edges).select(
         "rel", "key", graph_type(F.col("dtype"), F.col("is_list")).alias("type")
     )
-    merged = maybe(graph.edge_values, lambda t: t.select("rel", "key", F.col("dtype").alias("type")))
+    # The values of one combined edge are a list when they were one or when there are several.
+    merged = maybe(
+        graph.edge_values,
+        lambda t: t.groupBy("src", "dst", "rel", "key", "dtype")
+        .agg((F.max("is_list") | (F.count("*") > 1)).alias("is_list"))
+        .select("rel", "key", graph_type(F.col("dtype"), F.col("is_list")).alias("type")),
+    )
     return (
         plus(own, merged)
         .groupBy(F.translate("rel", "`:", "").alias("rel"), "key")
@@ -330,13 +336,8 @@ def wide_view(graph: Graph, label: str) -> DataFrame:
     Only the catalogue of the label comes to the driver. ``Any`` columns hold the
     values as a string array.
     """
-    keys = (
-        catalogue(Graph.of(nodes_with_label(graph.nodes, label)))
-        .filter(F.col("label") == label)
-        .orderBy("key")
-        .collect()
-    )
-    names = column_names([row["key"] for row in keys])
+    known = catalogue(Graph.of(nodes_with_label(graph.nodes, label))).filter(F.col("label") == label)
+    keys = known.join(column_names(known), ["label", "key"]).orderBy("key").collect()
     columns = []
     for row in keys:
         values = F.try_element_at("props", F.lit(row["key"]))["vals"]
@@ -347,10 +348,5 @@ def wide_view(graph: Graph, label: str) -> DataFrame:
             column = values.cast(declared)
         else:
             column = F.get(values, F.lit(0)).cast(declared)
-        columns.append(column.alias(names[row["key"]]))
+        columns.append(column.alias(row["column"]))
     return nodes_with_label(graph.nodes, label).select("id", *columns)
-
-
-def column(name: str) -> Column:
-    """A column by its literal name, whatever characters it has."""
-    return F.col(quote(name))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -34,9 +32,9 @@ def build_session(app: str = "kinfold", master: str | None = None, **conf: str)
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a temporary folder, since a
-    machine-local folder is lost together with its executor on a cluster.
+    The folder is the one the session names in ``spark.checkpoint.dir``; all
+    executors must share it. A local session without that setting uses a folder
+    below its warehouse, which is as shared as the tables it writes.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
@@ -45,6 +43,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if named:
         context.setCheckpointDir(named)
     elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="kinfold-checkpoint-"))
+        context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     else:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

@@ -9,7 +9,6 @@ from pyspark.sql.types import MapType
 from kinfold.session import ensure_checkpoint_dir
 
 HOT_ROWS = 1_000_000  # a key with this many rows is worth salting
-HOT_KEYS = 1_000  # at most this many keys are salted, so their list can be broadcast
 SALTS = 64
 MAX_BROADCAST_ROWS = 200_000
 
@@ -19,13 +18,13 @@ def hot_row_limit(frame: DataFrame) -> int:
 
 
 def hot_keys(rows: DataFrame, keys: list[str]) -> DataFrame | None:
-    """The heaviest keys, or None when there are none.
+    """All keys above the limit, or None when there are none.
 
     A job of its own that reads the key columns only. With the usual limit it
     counts one row in a thousand, where a hot key still shows up about a
     thousand times; a small limit counts all rows. The count merely decides
-    which keys the join spreads out: the join itself reads every row. At most
-    ``HOT_KEYS`` keys come to the driver.
+    which keys the join spreads out: the join itself reads every row. The keys
+    stay in the checkpoint folder.
     """
     limit = hot_row_limit(rows)
     fraction = min(1.0, 1_000 / limit)
@@ -40,9 +39,9 @@ def heaviest(counts: DataFrame, keys: list[str], count: str) -> DataFrame | None
 
 
 def _top(counts: DataFrame, keys: list[str], count: str, limit: int) -> DataFrame | None:
-    top = counts.filter(F.col(count) >= limit).orderBy(F.desc(count)).limit(HOT_KEYS).select(*keys)
-    rows = top.collect()
-    return counts.sparkSession.createDataFrame(rows, top.schema) if rows else None
+    ensure_checkpoint_dir(counts.sparkSession)
+    top = counts.filter(F.col(count) >= limit).select(*keys).checkpoint()
+    return None if top.isEmpty() else top
 
 
 def salted_join(
@@ -53,12 +52,12 @@ def salted_join(
     Left rows of a hot key get a salt from a hash of their other columns; right
     rows of that key are repeated once per salt. Every left row still meets
     every right row of its key exactly once, so inner, left, left_semi and
-    left_anti joins all keep their meaning. Keys below the limit, and any beyond
-    the first ``HOT_KEYS``, take salt 0, the ordinary way.
+    left_anti joins all keep their meaning. Keys below the limit take salt 0, the
+    ordinary way.
     """
     if hot is None:
         return left.join(right, keys, how)
-    mark = F.broadcast(hot.select(*keys).withColumn("_hot", F.lit(True)))  # at most HOT_KEYS rows
+    mark = checked_broadcast(hot.select(*keys).withColumn("_hot", F.lit(True)))
     spread = [
         field.name for field in left.schema.fields if field.name not in keys and not isinstance(field.dataType, MapType)
     ]
@@ -89,38 +88,3 @@ def checked_broadcast(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, sett
         table = table.checkpoint()
     return F.broadcast(table) if table.limit(max_rows + 1).count() <= max_rows else table
 
-
-def pair_up(
-    left: DataFrame, right: DataFrame, key: str, max_pairs: int
-) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-    """All (left, right) rows of equal ``key``, listed only while a key stays narrow.
-
-    Returns the listed pairs, and for the keys with more than ``max_pairs`` of
-    them the rows of either side (None when there is no such key): together
-    these say the same as the full list without a quadratic output. Column names
-    of the two sides must differ. The sizes are counted by a job of their own.
-    """
-    lefts = left.groupBy(key).agg(F.count("*").alias("_m"))
-    rights = right.groupBy(key).agg(F.count("*").alias("_n"))
-    pairs = F.col("_m").cast("double") * F.col("_n")
-    most_left, most_right, most_pairs = (
-        lefts.join(rights, key, "full").agg(F.max("_m"), F.max("_n"), F.max(pairs)).first()
-    )
-    limit = hot_row_limit(left)
-    if (most_pairs or 0) <= max_pairs and max(most_left or 0, most_right or 0) < limit:
-        return left.join(right, key), None, None
-    hot_left, hot_right = heaviest(lefts, [key], "_m"), heaviest(rights, [key], "_n")
-    sizes = lefts.join(rights, key).select(key, (pairs > max_pairs).alias("_wide"))
-    marked_left = salted_join(left, sizes, [key], hot=hot_left)
-    marked_right = salted_join(right, sizes, [key], hot=hot_right)
-    # A hot key without a partner is gone by now, so no key has more than max_pairs rows here.
-    narrow = marked_left.filter(~F.col("_wide")).drop("_wide").join(
-        marked_right.filter(~F.col("_wide")).drop("_wide"), key
-    )
-    if (most_pairs or 0) <= max_pairs:
-        return narrow, None, None
-    return (
-        narrow,
-        marked_left.filter("_wide").drop("_wide"),
-        marked_right.filter("_wide").drop("_wide"),
-    )

@@ -135,7 +135,7 @@ def document_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Src_Document",
         _id("Src_Document", "doc_id"),
         text_md5=_scalar("md5(text)"),
-        first_line_md5=_scalar("md5(substring_index(text, '\\n', 1))"),
+        letters_md5=_scalar("md5(concat('letters ', regexp_replace(lower(text), '[^a-z]', '')))"),
         lang=_scalar("lang"),
         source=_scalar("source"),
     )

@@ -11,11 +11,17 @@ from kinfold import build_session, ensure_checkpoint_dir  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
-        **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"},
+        **{
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(session)

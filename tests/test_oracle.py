@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from kinfold import catalog
 from tools.check_oracle import SAME, TABLES, canonical
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -21,17 +22,18 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_query(spark, con, name):
-    result = entry.queries()[name](spark, SF_DIR)
-    relation = con.sql(entry.oracle_sql()[name])
+    result = catalog.QUERIES[name](spark, SF_DIR)
+    relation = con.sql(catalog.ORACLES[name])
     types = {field.name: SAME.get(field.dataType.simpleString()) for field in result.schema}
     assert types == {column: str(kind) for column, kind in zip(relation.columns, relation.types)}
     assert canonical(result.toPandas()) == canonical(relation.df())
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(catalog.ORACLES) <= set(entry.oracle_sql())
 
 
 def test_flagship(spark):

@@ -67,11 +67,14 @@ def test_final_answer_and_tool(spark):
     assert one(spark, rows, "v string", answers.tool_argument(text)) == [None, "what 'is' it", None]
 
 
-def test_names():
+def test_names(spark):
     assert names.quote("a`b") == "`a``b`"
-    assert names.safe_name("1 a-b") == "Node_1_a_b"
-    assert names.safe_name("class") == "class_"
-    assert names.column_names(["Id", "id", "i.d", "ID"]) == {"Id": "id", "id": "id_1", "i.d": "i_d", "ID": "id_2"}
+    given = ["1 a-b", "class", "", "Id", "id", "i.d", "ID", "id_1", "id_1_1"]
+    found = names.column_names(spark.createDataFrame([("L", key) for key in given], "label string, key string")).collect()
+    columns = {row.key: row.column for row in found}
+    assert len(set(columns.values())) == len(given)
+    expected = {"1 a-b": "node_1_a_b", "class": "class_", "": "node_", "ID": "id", "id": "id_2", "i.d": "i_d", "id_1": "id_1"}
+    assert {key: columns[key] for key in expected} == expected and columns["Id"].startswith("id_1_")
 
 
 def test_bad_property_name(spark):
