@@ -85,6 +85,10 @@ class Job:
 
     def visit(self, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         """Counts the links of the home vectors; edges come out only where they connect something new."""
+        for at in range(0, part.num_rows, TILE):  # bounds the pairs that are held, however dense the tile
+            yield from self._meet(part.slice(at, TILE))
+
+    def _meet(self, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         keys, copies = part.column("key").to_pylist(), part.column("copies").to_numpy()
         units = unit(matrix(part.column("embedding")))
         x, y = possible_pairs(self.quantised, Quantised(units), self.threshold)
@@ -93,25 +97,27 @@ class Job:
             some = slice(at, at + (1 << 16))
             linked[some] = np.einsum("ij,ij->i", self.units[x[some]], units[y[some]]) >= self.threshold
         x, y = x[linked], y[linked]
+        if not len(x):
+            return
         np.add.at(self.links, x, copies[y])
         order = np.argsort(y, kind="stable")
         x, y = x[order], y[order]
-        a, b = [], []
         # One edge from each visitor to its first home vector; more only between home vectors not yet connected.
-        firsts = np.flatnonzero(np.concatenate([[True], y[1:] != y[:-1]])) if len(y) else []
-        for first, last in zip(firsts, [*firsts[1:], len(y)]):
-            centre = int(x[first])
-            if keys[y[first]] != self.keys[centre]:
-                a.append(keys[y[first]])
-                b.append(self.keys[centre])
-            for other in x[first + 1 : last].tolist():
-                one, two = self._find(centre), self._find(other)
-                if one != two:
-                    self.root[max(one, two)] = min(one, two)
-                    a.append(self.keys[centre])
-                    b.append(self.keys[other])
-        if a:
-            yield _rows(a, b, [None] * len(a))
+        visitor, first = np.unique(y, return_index=True)
+        centre = np.repeat(x[first], np.diff(np.append(first, len(y))))
+        a = [keys[place] for place in visitor]
+        b = [self.keys[place] for place in x[first]]
+        edges = [(one, other) for one, other in zip(a, b) if one != other]
+        apart = self.root[x] != self.root[centre]
+        for one, other in zip(centre[apart].tolist(), x[apart].tolist()):
+            low, high = sorted((self._find(one), self._find(other)))
+            if low != high:
+                self.root[high] = low
+                edges.append((self.keys[one], self.keys[other]))
+        while not np.array_equal(shorter := self.root[self.root], self.root):
+            self.root = shorter
+        if edges:
+            yield _rows(*map(list, zip(*edges)), [None] * len(edges))
 
     def finish(self) -> Iterator[pa.RecordBatch]:
         yield _rows(self.keys, [None] * len(self.keys), self.links.tolist())
