@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kinfold.model import Graph, property_rows, value_rows
 from kinfold.skew import checked_broadcast
+from kinfold.session import ensure_checkpoint_dir
 
 UNCLASSIFIED = "UNCLASSIFIED"
 
@@ -60,28 +61,26 @@ def strip_texts(nodes: DataFrame, rules: dict[tuple[str, str], list[str]] = STRI
 def property_overlap(graph: Graph, min_shared: int = 1) -> DataFrame:
     """How far the values of two properties overlap, for every pair that shares a value.
 
-    Each distinct value is reduced to the set of properties that hold it, equal
-    sets are counted, and only then are pairs formed, from the few distinct sets.
-    So no pair list per value is ever made. Columns: label_1, key_1, label_2,
+    Each distinct value is reduced to the set of properties that hold it, which
+    is the one shuffle of values; equal sets are counted, and sizes and pairs
+    follow from the few distinct sets. So no pair list per value is ever made. Columns: label_1, key_1, label_2,
     key_2, shared, containment (of the smaller side), jaccard, confidence (1 to
     10) and one shared value as evidence.
     """
-    distinct_values = (
+    ensure_checkpoint_dir(graph.nodes.sparkSession)
+    sets = (
         value_rows(graph)
         .select(F.explode("labels").alias("label"), "key", "val")
-        .distinct()
-        .select(F.struct("label", "key").alias("prop"), "val")
-    )
-    sizes = distinct_values.groupBy("prop").agg(F.count("*").alias("n"))
-    sets = (
-        distinct_values.groupBy("val")
-        .agg(F.array_sort(F.collect_set("prop")).alias("holders"))  # bounded by the schema
-        .filter(F.size("holders") > 1)
+        .groupBy("val")
+        .agg(F.array_sort(F.collect_set(F.struct("label", "key"))).alias("holders"))  # bounded by the schema
         .groupBy("holders")
         .agg(F.count("*").alias("shared"), F.min("val").alias("evidence"))
+        .checkpoint()
     )
+    sizes = sets.select(F.explode("holders").alias("prop"), "shared").groupBy("prop").agg(F.sum("shared").alias("n"))
     pairs = (
-        sets.select(F.posexplode("holders").alias("i", "p1"), "holders", "shared", "evidence")
+        sets.filter(F.size("holders") > 1)
+        .select(F.posexplode("holders").alias("i", "p1"), "holders", "shared", "evidence")
         .select("p1", F.explode(F.expr("slice(holders, i + 2, size(holders))")).alias("p2"), "shared", "evidence")
         .groupBy("p1", "p2")
         .agg(F.sum("shared").alias("shared"), F.min("evidence").alias("evidence"))

@@ -30,49 +30,71 @@ HAS_PROPERTY = "HAS_PROPERTY"
 # --- types ------------------------------------------------------------------
 
 
-def _typed_rows(graph: Graph) -> DataFrame:
-    own = property_rows(graph.nodes).select(
-        "labels", "key", graph_type(F.col("dtype"), F.col("is_list")).alias("type")
+def _signature(properties: str) -> Column:
+    """The (key, type) pairs of a property map, in order: records of one shape have equal signatures."""
+    pair = lambda e: F.struct(e["key"].alias("key"), graph_type(e["value"]["dtype"], e["value"]["is_list"]).alias("type"))
+    return F.array_sort(F.transform(F.map_entries(properties), pair))
+
+
+def node_signatures(graph: Graph) -> DataFrame:
+    """Distinct (labels, key, type); key and type are null for nodes without properties.
+
+    Whole signatures are made distinct first, which combines on the map side, and
+    only the few that are left are exploded.
+    """
+    own = (
+        graph.nodes.select("labels", _signature("props").alias("shape"))
+        .distinct()
+        .select("labels", F.explode_outer("shape").alias("p"))
+        .select("labels", "p.key", "p.type")
     )
     merged = maybe(
         graph.node_values, lambda t: t.select("labels", "key", F.concat("dtype", F.lit("Array")).alias("type"))
     )
-    return plus(own, merged)
+    return plus(own, merged).distinct()
 
 
-def node_property_types(graph: Graph) -> DataFrame:
-    """(label, key, type, types): all types seen, and the first of them as the reported one."""
+def edge_signatures(graph: Graph) -> DataFrame:
+    """Distinct (src_labels, rel, dst_labels, key, type), as ``node_signatures``.
+
+    The values of one combined edge are a list when they were one or when there are several.
+    """
+    ends = ["src_labels", "rel", "dst_labels"]
+    own = (
+        graph.edges.select(*ends, _signature("props").alias("shape"))
+        .distinct()
+        .select(*ends, F.explode_outer("shape").alias("p"))
+        .select(*ends, "p.key", "p.type")
+    )
+    merged = maybe(
+        graph.edge_values,
+        lambda t: t.groupBy("src", "dst", *ends, "key", "dtype")
+        .agg((F.max("is_list") | (F.count("*") > 1)).alias("is_list"))
+        .select(*ends, "key", graph_type(F.col("dtype"), F.col("is_list")).alias("type")),
+    )
+    return plus(own, merged).distinct()
+
+
+def _node_types(signatures: DataFrame) -> DataFrame:
     return (
-        _typed_rows(graph)
+        signatures.filter("key IS NOT NULL")
         .select(F.explode("labels").alias("label"), "key", "type")
         .groupBy("label", "key")
         .agg(F.min("type").alias("type"), F.array_sort(F.collect_set("type")).alias("types"))
     )
 
 
-def edge_property_types(graph: Graph) -> DataFrame:
-    """(rel, key, type, types)."""
-    own = edge_property_rows(graph.edges).select(
-        "rel", "key", graph_type(F.col("dtype"), F.col("is_list")).alias("type")
-    )
-    # The values of one combined edge are a list when they were one or when there are several.
-    merged = maybe(
-        graph.edge_values,
-        lambda t: t.groupBy("src", "dst", "rel", "key", "dtype")
-        .agg((F.max("is_list") | (F.count("*") > 1)).alias("is_list"))
-        .select("rel", "key", graph_type(F.col("dtype"), F.col("is_list")).alias("type")),
-    )
+def _edge_types(signatures: DataFrame) -> DataFrame:
     return (
-        plus(own, merged)
+        signatures.filter("key IS NOT NULL")
         .groupBy(F.translate("rel", "`:", "").alias("rel"), "key")
         .agg(F.min("type").alias("type"), F.array_sort(F.collect_set("type")).alias("types"))
     )
 
 
-def schema_edges(graph: Graph) -> DataFrame:
-    """Distinct (start_label, rel, end_label); the end labels sit on the edges, so no join."""
+def _triples(signatures: DataFrame) -> DataFrame:
     return (
-        graph.edges.select("src_labels", "rel", "dst_labels")
+        signatures.select("src_labels", "rel", "dst_labels")
         .distinct()
         .select(F.explode("src_labels").alias("start_label"), "rel", "dst_labels")
         .select("start_label", "rel", F.explode("dst_labels").alias("end_label"))
@@ -80,6 +102,21 @@ def schema_edges(graph: Graph) -> DataFrame:
     )
 
 
+def node_property_types(graph: Graph) -> DataFrame:
+    """(label, key, type, types): all types seen, and the first of them as the reported one."""
+    return _node_types(node_signatures(graph))
+
+
+def edge_property_types(graph: Graph) -> DataFrame:
+    """(rel, key, type, types)."""
+    return _edge_types(edge_signatures(graph))
+
+
+def schema_edges(graph: Graph) -> DataFrame:
+    """Distinct (start_label, rel, end_label); the end labels sit on the edges, so no join."""
+    return _triples(graph.edges)
+
+
 def property_usage(graph: Graph) -> DataFrame:
     """(key, label, type): labels that use a key; the type is one per key."""
     return _usage(node_property_types(graph))
@@ -93,8 +130,10 @@ def _usage(types: DataFrame) -> DataFrame:
 
 def schema_counts(graph: Graph) -> DataFrame:
     """(what, n): node properties, edge properties, schema edges, distinct keys, labels, relations."""
-    nodes = node_property_types(graph)
-    edges = edge_property_types(graph)
+    ensure_checkpoint_dir(graph.nodes.sparkSession)
+    # One pass over each table; everything below reads rows as few as the schema.
+    node_rows, edge_rows = node_signatures(graph).coalesce(1).checkpoint(), edge_signatures(graph).coalesce(1).checkpoint()
+    nodes, edges = _node_types(node_rows), _edge_types(edge_rows)
 
     def count(what: str, rows: DataFrame) -> DataFrame:
         return rows.agg(F.count("*").alias("n")).select(F.lit(what).alias("what"), "n")
@@ -102,10 +141,10 @@ def schema_counts(graph: Graph) -> DataFrame:
     return (
         count("node_properties", nodes)
         .unionByName(count("edge_properties", edges))
-        .unionByName(count("schema_edges", schema_edges(graph)))
+        .unionByName(count("schema_edges", _triples(edge_rows)))
         .unionByName(count("property_keys", nodes.select("key").distinct()))
-        .unionByName(count("labels", node_labels(graph.nodes)))
-        .unionByName(count("relations", graph.edges.select("rel").distinct()))
+        .unionByName(count("labels", node_labels(node_rows)))
+        .unionByName(count("relations", edge_rows.select("rel").distinct()))
     )
 
 
@@ -125,9 +164,10 @@ def schema_graph(graph: Graph) -> Graph:
         return rows.groupBy(owner).agg(F.map_from_entries(F.collect_list(entry)).alias("props"))
 
     ensure_checkpoint_dir(graph.nodes.sparkSession)
-    labels = node_labels(graph.nodes)
-    # Everything below is as small as the schema; the graph is read once for it.
-    node_types = node_property_types(graph).checkpoint()
+    # One pass over each table; everything below reads rows as few as the schema.
+    node_rows, edge_rows = node_signatures(graph).coalesce(1).checkpoint(), edge_signatures(graph).coalesce(1).checkpoint()
+    labels = node_labels(node_rows)
+    node_types = _node_types(node_rows)
     usage = _usage(node_types)
     label_nodes = labels.join(types_of(node_types, "label"), "label", "left").select(
         node_id("label", F.col("label")).alias("id"),
@@ -143,8 +183,8 @@ def schema_graph(graph: Graph) -> Graph:
             props(key=scalar(F.col("key")), propertyType=scalar(F.col("type"))).alias("props"),
         )
     )
-    triples = schema_edges(graph).filter("start_label <> '' AND rel <> '' AND end_label <> ''")
-    rel_types = types_of(edge_property_types(graph), "rel")
+    triples = _triples(edge_rows).filter("start_label <> '' AND rel <> '' AND end_label <> ''")
+    rel_types = types_of(_edge_types(edge_rows), "rel")
     label_edges = (
         triples.withColumn("clean", F.translate("rel", "`:", ""))
         .join(rel_types.withColumnRenamed("rel", "clean"), "clean", "left")
@@ -165,8 +205,9 @@ def schema_graph(graph: Graph) -> Graph:
         F.lit(HAS_PROPERTY).alias("rel"),
         no_props().alias("props"),
     )
+    # Readers look at these few rows again and again.
     return Graph.of(
-        label_nodes.unionByName(key_nodes).checkpoint(), label_edges.unionByName(key_edges).checkpoint()
+        label_nodes.unionByName(key_nodes).coalesce(1).checkpoint(), label_edges.unionByName(key_edges).coalesce(1).checkpoint()
     )
 
 
