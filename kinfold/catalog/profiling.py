@@ -118,9 +118,12 @@ ORACLES = {
     "property_usage": f"""
 WITH {_TYPES} SELECT key, label, min(type) OVER (PARTITION BY key) AS type FROM t
 """,
-    "edge_property_types": f"""
-SELECT rel, key, CASE key WHEN 'linenumber' THEN 'Long' WHEN 'quantity' THEN 'Double' ELSE 'String' END AS type
-FROM ({sql.EDGE_KEYS})
+    "edge_property_types": """
+WITH t AS (SELECT DISTINCT 'HAS_LINE' AS rel, 'linenumber' AS key, typeof(l_linenumber) AS stored FROM lineitem
+           UNION SELECT 'HAS_LINE', 'quantity', typeof(l_quantity) FROM lineitem
+           UNION SELECT 'SUPPLIED_BY', 'returnflag', typeof(l_returnflag) FROM lineitem
+           UNION SELECT 'SUPPLIED_BY', 'linestatus', typeof(l_linestatus) FROM lineitem)
+SELECT rel, key, CASE stored WHEN 'INTEGER' THEN 'Long' WHEN 'BIGINT' THEN 'Long' WHEN 'DOUBLE' THEN 'Double' ELSE 'String' END AS type FROM t
 """,
     "schema_counts": f"""
 WITH {_TYPES}, {_EDGES}
