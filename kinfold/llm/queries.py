@@ -145,4 +145,43 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, CAST(nth AS INTEGER) AS rank, vec_id, score FROM ranked WHERE nth <= 10
 """
 
-ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op9_embed_dedup": OP9_SQL, "op10_topk": OP10_SQL}
+_OP8_KINDS = {
+    "assign": (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+""", "secret"),
+    "access": ("AKIA[A-Z0-9]+", "identifier"),
+    "hex": ("[0-9a-f]{32,}", "secret"),
+    "identifier": (r"""(?i:client|access|account|user)[_-]?(?i:key[_-]?)?(?i:id|name)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{4,}""", "identifier"),
+    "key": ("[A-Za-z0-9+/=_-]+", "secret"),  # whole runs; the length and the characters are tested below
+    "endpoint": (r"(?i:https?|s3|postgres|postgresql|mysql|mongodb|redis|amqp)://[A-Za-z0-9._~:@%/?#=&+-]+", "endpoint"),
+}
+_OP8_HITS = " UNION ALL ".join(
+    f"SELECT n, {place} AS place, '{kind}' AS kind, '{role}' AS role, regexp_extract_all(t, '{quoted}') AS hits, string_split_regex(t, '{quoted}') AS gaps FROM d"
+    for place, (kind, (pattern, role)) in enumerate(_OP8_KINDS.items(), 1)
+    for quoted in [pattern.replace("'", "''")]
+)
+OP8_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({_OP8_HITS}),
+each_hit AS (SELECT n, place, kind, role, unnest(hits) AS hit, unnest(gaps[:len(hits)]) AS gap, unnest(range(1, len(hits) + 1)) AS nth FROM found),
+placed AS (SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY n, kind ORDER BY nth) AS e FROM each_hit),
+parts AS (
+  SELECT n, place, kind, role, CAST(e - length(hit) AS BIGINT) AS s, CAST(e AS BIGINT) AS e FROM placed
+  WHERE CASE kind WHEN 'assign' THEN length(regexp_extract(hit, '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1)) >= 8
+                  WHEN 'access' THEN length(hit) >= 16
+                  WHEN 'key' THEN regexp_full_match(hit, '[A-Za-z0-9+/]{{40}}') AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[a-z]')
+                  ELSE TRUE END),
+kept AS (
+  SELECT *, place <= 3 AS base FROM parts
+  WHERE place <= 3 OR EXISTS (SELECT 1 FROM parts o WHERE o.n = parts.n AND o.role <> parts.role AND o.role <> 'endpoint'
+                              AND o.s <= parts.e + 256 AND o.e >= parts.s - 256)),
+listed AS (
+  SELECT n, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         count(*) FILTER (NOT base) AS n_linked,
+         coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) FILTER (base), '') AS base,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) AS spans
+  FROM kept GROUP BY n)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_linked, 0) AS n_linked
+FROM d LEFT JOIN listed USING (n)
+"""
+
+ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op8_secret_scan": OP8_SQL, "op9_embed_dedup": OP9_SQL, "op10_topk": OP10_SQL}
