@@ -20,7 +20,8 @@ from kinfold.llm.words import Memory
 
 WINDOW = 4_096
 END = 2  # the id after each document
-SHARD_TOKENS, SHARD_DOCS = 4_000_000, 50_000  # a shard of the index is closed when it reaches either
+SHARD_TOKENS, SHARD_DOCS = 2_000_000, 50_000  # a shard of the index is closed when it reaches either
+WORDS, PIECES = 300_000, 150_000  # words and pieces whose ids a task remembers
 TERMS = 16  # of a seed that look for neighbours
 NEIGHBOURS = 64  # fetched at once; more are fetched while there is room
 K1, B = 1.2, 0.75
@@ -39,15 +40,16 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self.kind = np.uint16 if self._tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self._merge = self._tokenizer.model.tokenize
-        self._pieces = Memory(lambda piece: [token.id for token in self._merge(show_bytes(piece.encode()))])
-        self._words = Memory(self._encode_word)
+        self._pieces = Memory(self._encode_piece, PIECES)
+        self._words = Memory(self._encode_word, WORDS)
+
+    def _encode_piece(self, piece: str) -> bytes:
+        return np.array([token.id for token in self._merge(show_bytes(piece.encode()))], self.kind).tobytes()
 
     def _encode_word(self, word: str) -> bytes:
         if _PLAIN.fullmatch(word) and "<|" not in word:
-            ids = [i for piece in _PIECE.findall(word.lower()) for i in self._pieces[piece]]
-        else:
-            ids = self._tokenizer.encode(word, add_special_tokens=False).ids
-        return np.array(ids, self.kind).tobytes()
+            return b"".join(map(self._pieces.__getitem__, _PIECE.findall(word.lower())))
+        return np.array(self._tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(map(self._words.__getitem__, text.replace("\n", " ").split(" "))), self.kind)
@@ -64,24 +66,29 @@ class Index:
 
     def __init__(self, documents: list[np.ndarray]):
         lengths = np.array([len(ids) for ids in documents], np.int64)
-        owner = np.repeat(np.arange(len(documents), dtype=np.int64), lengths)
-        keys, counts = np.unique(np.concatenate(documents).astype(np.int64) << 32 | owner, return_counts=True)
-        self.document, term = keys & 0xFFFFFFFF, keys >> 32
+        keys = np.concatenate(documents).astype(np.int64) << 32
+        keys |= np.repeat(np.arange(len(documents)), lengths)
+        keys.sort()
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        counts = np.diff(np.append(starts, len(keys))).astype(np.float32)
+        keys = keys[starts]
+        self.document, term = (keys & 0xFFFFFFFF).astype(np.int32), (keys >> 32).astype(np.int32)
+        del keys, starts
         self.bounds = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1], [True]]))
         held = np.diff(self.bounds)
-        rarity = np.log1p((len(documents) - held + 0.5) / (held + 0.5))
-        relative = lengths / max(lengths.mean(), 1)
-        self.weight = np.repeat(rarity, held) * counts * (K1 + 1) / (counts + K1 * (1 - B + B * relative[self.document]))
+        rarity = np.log1p((len(documents) - held + 0.5) / (held + 0.5)).astype(np.float32)
+        longer = (K1 * (1 - B + B * lengths / max(lengths.mean(), 1))).astype(np.float32)
+        self.weight = np.repeat(rarity, held) * counts * np.float32(K1 + 1) / (counts + longer[self.document])
         # The same entries by document, the heaviest first: a seed's terms.
-        number = np.repeat(np.arange(len(held)), held)
-        useful = np.flatnonzero(np.repeat(held, held) > 1)
-        order = useful[np.lexsort((-self.weight[useful], self.document[useful]))]
-        self.terms = number[order]
-        self.starts = np.searchsorted(self.document[order], np.arange(len(documents) + 1))
+        number = np.repeat(np.arange(len(held), dtype=np.int32), held)
+        useful = np.flatnonzero(np.repeat(held > 1, held)).astype(np.int32)
+        useful = useful[np.lexsort((-self.weight[useful], self.document[useful]))]
+        self.terms = number[useful]
+        self.starts = np.searchsorted(self.document[useful], np.arange(len(documents) + 1))
 
     def scores(self, seed: int) -> np.ndarray:
         """Scores of all documents of the shard against the seed's heaviest terms."""
-        found = np.zeros(len(self.starts) - 1)
+        found = np.zeros(len(self.starts) - 1, np.float32)
         for term in self.terms[self.starts[seed] : min(self.starts[seed + 1], self.starts[seed] + TERMS)]:
             entries = slice(self.bounds[term], self.bounds[term + 1])
             found[self.document[entries]] += self.weight[entries]

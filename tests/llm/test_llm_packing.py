@@ -59,9 +59,11 @@ def test_scores_equal_the_formula():
         return np.log1p((len(documents) - n + 0.5) / (n + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(document) / mean))
 
     for seed in range(30):
-        own = sorted((-weight(t, documents[seed]), t) for t in set(documents[seed].tolist()) if holders[t] > 1)[: packing.TERMS]
-        want = [sum(weight(t, d) for _, t in own) for d in documents]
-        assert index.scores(seed) == pytest.approx(want)
+        own = sorted((-round(weight(t, documents[seed]), 5), t) for t in set(documents[seed].tolist()) if holders[t] > 1)
+        if len(own) > packing.TERMS and own[packing.TERMS - 1][0] == own[packing.TERMS][0]:
+            continue  # a tie at the last term
+        want = [sum(weight(t, d) for _, t in own[: packing.TERMS]) for d in documents]
+        assert index.scores(seed) == pytest.approx(want, rel=1e-4)
 
 
 def test_neighbours_come_first():
