@@ -30,24 +30,9 @@ HAS_PROPERTY = "HAS_PROPERTY"
 # --- types ------------------------------------------------------------------
 
 
-def _signature(properties: str) -> Column:
-    """The (key, type) pairs of a property map, in order: records of one shape have equal signatures."""
-    pair = lambda e: F.struct(e["key"].alias("key"), graph_type(e["value"]["dtype"], e["value"]["is_list"]).alias("type"))
-    return F.array_sort(F.transform(F.map_entries(properties), pair))
-
-
 def node_signatures(graph: Graph) -> DataFrame:
-    """Distinct (labels, key, type); key and type are null for nodes without properties.
-
-    Whole signatures are made distinct first, which combines on the map side, and
-    only the few that are left are exploded.
-    """
-    own = (
-        graph.nodes.select("labels", _signature("props").alias("shape"))
-        .distinct()
-        .select("labels", F.explode_outer("shape").alias("p"))
-        .select("labels", "p.key", "p.type")
-    )
+    """Distinct (labels, key, type); key and type are null for nodes without properties. One pass over the nodes."""
+    own = _shapes(graph.nodes, "labels")
     merged = maybe(
         graph.node_values, lambda t: t.select("labels", "key", F.concat("dtype", F.lit("Array")).alias("type"))
     )
@@ -60,12 +45,7 @@ def edge_signatures(graph: Graph) -> DataFrame:
     The values of one combined edge are a list when they were one or when there are several.
     """
     ends = ["src_labels", "rel", "dst_labels"]
-    own = (
-        graph.edges.select(*ends, _signature("props").alias("shape"))
-        .distinct()
-        .select(*ends, F.explode_outer("shape").alias("p"))
-        .select(*ends, "p.key", "p.type")
-    )
+    own = _shapes(graph.edges, *ends)
     merged = maybe(
         graph.edge_values,
         lambda t: t.groupBy("src", "dst", *ends, "key", "dtype")
@@ -75,6 +55,11 @@ def edge_signatures(graph: Graph) -> DataFrame:
     return plus(own, merged).distinct()
 
 
+def _shapes(rows: DataFrame, *columns: str) -> DataFrame:
+    each = rows.select(*columns, F.explode_outer("props").alias("key", "p"))
+    return each.select(*columns, "key", graph_type(F.col("p.dtype"), F.col("p.is_list")).alias("type"))
+
+
 def _node_types(signatures: DataFrame) -> DataFrame:
     return (
         signatures.filter("key IS NOT NULL")

@@ -40,8 +40,8 @@ def heaviest(counts: DataFrame, keys: list[str], count: str) -> DataFrame | None
 
 def _top(counts: DataFrame, keys: list[str], count: str, limit: int) -> DataFrame | None:
     ensure_checkpoint_dir(counts.sparkSession)
-    top = counts.filter(F.col(count) >= limit).select(*keys).checkpoint()
-    return None if top.isEmpty() else top
+    top = counts.filter(F.col(count) >= limit).select(*keys)
+    return None if top.isEmpty() else top.checkpoint()
 
 
 def salted_join(
