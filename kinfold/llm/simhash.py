@@ -286,11 +286,14 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
     A null id goes after all others. Rows that repeat an id and text are one row. A
     null text counts as empty, and all blank texts are one component.
     """
-    row, hashed = F.col(doc_id).alias("row"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("hash")
+    hashed = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("hash")
+    # A null id has a key as well, so the join and the repeated rows share one shuffle of the texts.
+    row = F.col(doc_id).alias("row")
+    key = F.coalesce(F.concat(F.lit("id "), F.col("row").cast("string")), F.lit("none")).alias("key")
     rows = docs.select(row, hashed, F.col(text).alias("text"))
     found = near_duplicates(fingerprints(rows, keys=("row", "hash")), doc_id="row")
     order = F.struct(F.col("row").isNull().alias("last"), "row", "hash")
-    kept = settled(found.groupBy("component").agg(F.min(order).alias("kept")).select("kept.row", "kept.hash")).alias("k")
-    whole = docs.select(F.struct("*").alias("all"), row, hashed).alias("d")
-    same = F.col("d.row").eqNullSafe(F.col("k.row")) & (F.col("d.hash") == F.col("k.hash"))
-    return whole.join(kept, same, "left_semi").dropDuplicates(["row", "hash"]).select("all.*")
+    kept = found.groupBy("component").agg(F.min(order).alias("kept")).select("kept.*")
+    kept = settled(kept.select(key, "hash"))
+    whole = docs.select(F.struct("*").alias("all"), row, hashed).select("all", key, "hash")
+    return whole.join(kept, ["key", "hash"], "left_semi").dropDuplicates(["key", "hash"]).select("all.*")
