@@ -271,11 +271,17 @@ def training_windows(text: str) -> list[tuple[str, list[int]]]:
 
 
 def train(docs: DataFrame, text: str = "text") -> Tagger | None:
-    """A tagger fitted on windows of at most ``SAMPLE`` texts with digits or ``@``, those of smallest hash.
+    """A tagger fitted on windows of at most ``SAMPLE`` different texts with digits or ``@``, those of smallest hash.
 
-    Labels are the rule spans. Without any window there is no tagger.
+    Labels are the rule spans. Without any window there is no tagger. The sample is
+    settled on hashes alone, so texts outside it are never moved, and copies of
+    one text meet in a partial aggregate.
     """
-    sample = docs.select(F.col(text).alias("text")).filter(F.col("text").rlike("[0-9@]")).orderBy(F.xxhash64("text"), "text").limit(SAMPLE)
+    texts = docs.select(F.col(text).alias("text")).filter(F.col("text").rlike("[0-9@]")).withColumn("hash", F.xxhash64("text"))
+    last = texts.select("hash").distinct().orderBy("hash").limit(SAMPLE).agg(F.max("hash")).first()[0]
+    if last is None:
+        return None
+    sample = texts.filter(F.col("hash") <= last).groupBy("hash").agg(F.min("text").alias("text")).select("text")
 
     def run(batches):
         for batch in batches:
