@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from zlib import crc32
@@ -21,7 +22,7 @@ from kinfold.llm.words import Memory
 WINDOW = 4_096
 END = 2  # the id after each document
 SHARD_TOKENS, SHARD_DOCS = 2_000_000, 50_000  # a shard of the index is closed when it reaches either
-WORDS, PIECES = 300_000, 150_000  # words and pieces whose ids a task remembers
+WORDS, PIECES = 800_000, 200_000  # words and pieces whose ids a task remembers
 TERMS = 16  # of a seed that look for neighbours
 NEIGHBOURS = 64  # fetched at once; more are fetched while there is room
 K1, B = 1.2, 0.75
@@ -44,12 +45,12 @@ class WordEncoder:
         self._words = Memory(self._encode_word, WORDS)
 
     def _encode_piece(self, piece: str) -> bytes:
-        return np.array([token.id for token in self._merge(show_bytes(piece.encode()))], self.kind).tobytes()
+        return array(self.kind().dtype.char, [token.id for token in self._merge(show_bytes(piece.encode()))]).tobytes()
 
     def _encode_word(self, word: str) -> bytes:
         if _PLAIN.fullmatch(word) and "<|" not in word:
             return b"".join(map(self._pieces.__getitem__, _PIECE.findall(word.lower())))
-        return np.array(self._tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+        return array(self.kind().dtype.char, self._tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(map(self._words.__getitem__, text.replace("\n", " ").split(" "))), self.kind)
@@ -186,7 +187,7 @@ def pack_documents(docs: DataFrame, path: str, text: str = "text", doc_id: str =
     sequences. The order within a task is fixed, so a task that runs again gives the same rows.
     """
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    likeness = F.array_min(F.transform(F.split(value, "[ \n]"), lambda word: F.xxhash64(word)))
+    likeness = F.array_min(F.transform(F.split(F.translate(value, "\n", " "), " "), lambda word: F.xxhash64(word)))
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), value.alias("text"), likeness.alias("likeness"), F.xxhash64(F.col(doc_id), value).alias("spread")
     )
