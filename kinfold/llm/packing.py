@@ -23,7 +23,8 @@ WINDOW = 4_096
 END = 2  # the id after each document
 SHARD_TOKENS, SHARD_DOCS = 2_000_000, 50_000  # a shard of the index is closed when it reaches either
 WORDS, PIECES = 800_000, 200_000  # words and pieces whose ids a task remembers
-TERMS = 16  # of a seed that look for neighbours
+TERMS = 16  # of a seed in the quick score; neighbours are ranked by all of its terms
+DENSE = 8  # a term in more than one of so many documents of a shard has a row of weights
 NEIGHBOURS = 64  # fetched at once; more are fetched while there is room
 K1, B = 1.2, 0.75
 
@@ -86,14 +87,30 @@ class Index:
         useful = useful[np.lexsort((-self.weight[useful], self.document[useful]))]
         self.terms = number[useful]
         self.starts = np.searchsorted(self.document[useful], np.arange(len(documents) + 1))
+        # Rows of weights of the common terms; no more than DENSE numbers for each entry.
+        common = held * DENSE > len(documents)
+        self.row = np.where(common, np.cumsum(common) - 1, -1)
+        self.rows = np.zeros((int(common.sum()), len(documents)), np.float32)
+        inside = np.flatnonzero(common[number])
+        self.rows[self.row[number[inside]], self.document[inside]] = self.weight[inside]
+
+    def _add(self, found: np.ndarray, terms: np.ndarray) -> np.ndarray:
+        for low, high in zip(self.bounds[terms].tolist(), self.bounds[terms + 1].tolist()):
+            found[self.document[low:high]] += self.weight[low:high]
+        return found
 
     def scores(self, seed: int) -> np.ndarray:
         """Scores of all documents of the shard against the seed's heaviest terms."""
-        found = np.zeros(len(self.starts) - 1, np.float32)
-        for term in self.terms[self.starts[seed] : min(self.starts[seed + 1], self.starts[seed] + TERMS)]:
-            entries = slice(self.bounds[term], self.bounds[term + 1])
-            found[self.document[entries]] += self.weight[entries]
-        return found
+        terms = self.terms[self.starts[seed] : min(self.starts[seed + 1], self.starts[seed] + TERMS)]
+        return self._add(np.zeros(len(self.starts) - 1, np.float32), terms)
+
+    def full_scores(self, seed: int) -> np.ndarray:
+        """BM25 scores of all documents of the shard against all terms of the seed."""
+        terms = self.terms[self.starts[seed] : self.starts[seed + 1]]
+        row = self.row[terms]
+        asked = np.zeros(len(self.rows), np.float32)
+        asked[row[row >= 0]] = 1
+        return self._add(asked @ self.rows, terms[row < 0])
 
 
 def pack(documents: list[np.ndarray], window: int = WINDOW) -> Iterator[list[tuple[int, int, int]]]:
@@ -125,7 +142,7 @@ def pack(documents: list[np.ndarray], window: int = WINDOW) -> Iterator[list[tup
             room -= length
 
         take(seed)
-        scores = index.scores(seed) if room else None
+        scores = index.full_scores(seed) if room else None
         while room:
             scores[left == 0] = 0
             best = np.argpartition(-scores, NEIGHBOURS)[:NEIGHBOURS] if len(scores) > NEIGHBOURS else np.arange(len(scores))

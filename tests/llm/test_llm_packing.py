@@ -66,6 +66,32 @@ def test_scores_equal_the_formula():
         assert index.scores(seed) == pytest.approx(want, rel=1e-4)
 
 
+@pytest.mark.parametrize("dense", [1, 8, 1000])
+def test_full_scores_equal_the_formula_over_all_terms(monkeypatch, dense):
+    monkeypatch.setattr(packing, "DENSE", dense)
+    documents = random_documents(40, 120, seed=3)
+    index = packing.Index(documents)
+    mean = np.mean([len(d) for d in documents])
+    holders = {t: sum(t in d for d in documents) for d in documents for t in d.tolist()}
+    for seed, own in enumerate(documents):
+        want = np.zeros(len(documents))
+        for term in set(own.tolist()):
+            if holders[term] > 1:
+                counts = np.array([(d == term).sum() for d in documents])
+                longer = 1.2 * (0.25 + 0.75 * np.array([len(d) for d in documents]) / mean)
+                want += np.log1p((len(documents) - holders[term] + 0.5) / (holders[term] + 0.5)) * counts * 2.2 / (counts + longer)
+        assert index.full_scores(seed) == pytest.approx(want, rel=1e-4)
+
+
+def test_terms_after_the_heaviest_find_neighbours():
+    # Documents of one id each share the seed's 16 heaviest terms, the last document its other 14.
+    seed = np.concatenate([np.repeat(np.arange(16), 20), np.arange(16, 30)]).astype(np.uint16)
+    other, alike = np.arange(100, 114, dtype=np.uint16), np.arange(16, 30, dtype=np.uint16)
+    holders = [np.full(1, term, np.uint16) for term in range(16)]
+    first = next(packing.pack([seed, *holders, other, alike], len(seed) + len(alike)))
+    assert [document for document, *_ in first][:2] == [0, 18]
+
+
 def test_neighbours_come_first():
     one, other = np.arange(1, 20, dtype=np.uint16), np.arange(100, 120, dtype=np.uint16)
     first = next(packing.pack([one, other, other[:15], one[:12]], 40))
