@@ -109,11 +109,15 @@ class Plan:
             length = np.sqrt((centre * centre).sum(1)) + reach
             data = [row for row in near if row["size"] == size]
             at, away = np.array([row["cell"] for row in data]), np.array([row["distance"] for row in data]) * SLACK
-            # Row x of cell j: <q, x> >= <c, p> - reach |p| - (|c| + reach) |x - p|. Each entry is another row.
+            # Row x of cell j: <q, x> >= <c, p> - reach |p| - (|c| + reach) |x - p|.
             pivot_length = np.sqrt((centres * centres).sum(1))
             sure = (centre @ centres.T)[:, at] - reach[:, None] * pivot_length[at] - length[:, None] * away
-            sure = np.sort(sure, axis=1)[:, ::-1]
-            # One of the rows may be the query's own, so k others need k + 1.
+            # Each id counts once, whatever its rows and cells: all rows of the query's id are its own.
+            owner = np.array([row["vec_id"] for row in data], np.int64)
+            order = np.argsort(owner, kind="stable")
+            firsts = np.flatnonzero(np.diff(owner[order], prepend=owner[order[0]] - 1))
+            sure = np.sort(np.maximum.reduceat(sure[:, order], firsts, axis=1), axis=1)[:, ::-1]
+            # One of the ids may be the query's own, so k others need k + 1.
             least = sure[:, k] if sure.shape[1] > k else np.full(len(own), -np.inf)
             self.groups[size] = {
                 "place": {int(cell): at for at, cell in enumerate(cells)},
@@ -176,7 +180,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_
     ``k`` best. Scores beyond the range of a long are cut off there.
 
     Queries and data are grouped by pivots. From the summaries (each query
-    group's reach, the distances of the k + 1 rows nearest to each pivot) follows a score
+    group's reach, the distances of the k + 1 different ids nearest to each pivot) follows a score
     that every query of a group is sure to find; a data row goes only to groups
     where its bound reaches that. Large groups are dealt out in blocks of queries
     and of data, and the best of the blocks are merged.
@@ -202,8 +206,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_
             f"vec_id bigint, size int, query boolean, spread bigint, embedding {kind}, cell int, distance double",
         )
     )
-    by_cell = Window.partitionBy("size", "cell").orderBy("distance")
-    near = placed.select("size", "cell", "distance", F.row_number().over(by_cell).alias("nth")).filter(F.col("nth") <= k + 1).collect()
+    by_cell = Window.partitionBy("size", "cell").orderBy("distance", "vec_id")
+    closest = placed.groupBy("size", "cell", "vec_id").agg(F.min("distance").alias("distance"))
+    near = closest.withColumn("nth", F.row_number().over(by_cell)).filter(F.col("nth") <= k + 1).collect()
     groups = placed.filter("query").groupBy("size", "cell").agg(F.max("distance").alias("reach"), F.count("*").alias("queries")).collect()
     plan = Plan(centres, near, groups, total, k)
     group = ["size", "place", "block", "data_block"]

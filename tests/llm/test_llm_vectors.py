@@ -100,6 +100,22 @@ def test_top_rows_equal_all_scores(spark, monkeypatch, changes):
     assert sorted(tuple(row) for row in got if row.query_id in single) == [row for row in slow_top(rows, 10, 10) if row[0] in single]
 
 
+@pytest.mark.parametrize("pivots", [1, 8, 256])
+@pytest.mark.parametrize("copies", [11, 25])
+def test_a_query_id_with_many_rows_finds_all(spark, monkeypatch, pivots, copies):
+    monkeypatch.setattr(topk, "LEAST_PIVOTS", pivots)
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=8).tolist(), 1, 1, 2, "k") for i in range(1, 60)]
+    rows += [(100, [4.0] * 8, 1, 1, 2, "k")] * copies + [(200, (np.eye(8)[i % 8] * 3).tolist(), 1, 1, 2, "k") for i in range(copies)]
+    got = topk.search(spark.createDataFrame(rows, FIELDS), F.col("vec_id") % 100 == 0).collect()
+    want = []
+    whole = [(i, [int(np.floor(1024 * float(np.float32(x)))) for x in v]) for i, v, *_ in rows]
+    for query in (100, 200):
+        pairs = [(-sum(a * b for a, b in zip(q, v)), i) for own, q in whole if own == query for i, v in whole if i != query]
+        want += [(query, rank, i, -score) for rank, (score, i) in enumerate(sorted(pairs)[:10], 1)]
+    assert sorted(map(tuple, got)) == want
+
+
 def test_bounds_prune_far_groups(spark):
     rng = np.random.default_rng(3)
     groups = [np.eye(8)[i] * 5 + rng.normal(size=(40, 8)) * 0.01 for i in range(8)]
