@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm import byte_bpe, embed_dedup, packing, pii, quality, secret_scan, simhash, token_count, topk, url_filter
+from kinfold.llm import byte_bpe, centroids, embed_dedup, packing, pii, quality, secret_scan, simhash, token_count, topk, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,14 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_url_filter": op2_url_filter,
@@ -68,6 +76,8 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_embed_dedup": op9_embed_dedup,
     "op10_topk": op10_topk,
+    "op11_centroids": op11_centroids,
+    "op12_toxicity": op12_toxicity,
 }
 
 # Aliases by a recursive walk over the links in the html, in the dialect of DuckDB.
@@ -184,4 +194,31 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN listed USING (n)
 """
 
-ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op8_secret_scan": OP8_SQL, "op9_embed_dedup": OP9_SQL, "op10_topk": OP10_SQL}
+_NEAREST = "list_sum(list_transform(list_zip(v.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+_ROUNDS = centroids.ROUNDS
+_OP11_ROUNDS = "".join(
+    f""",
+a{t} AS MATERIALIZED (SELECT n, min(CAST({_NEAREST} AS BIGINT) * 8 + k) AS best FROM v, c{t} c GROUP BY n),
+s{t} AS (SELECT best % 8 AS k, place, sum(x) AS total, count(*) AS m
+  FROM (SELECT best, unnest(e) AS x, unnest(range(64)) AS place FROM a{t} JOIN v USING (n)) GROUP BY 1, 2),
+m{t} AS (SELECT k, list(CAST((total - ((total % m) + m) % m) // m AS BIGINT) ORDER BY place) AS e FROM s{t} GROUP BY k),
+c{t + 1} AS MATERIALIZED (SELECT c{t}.k, coalesce(m{t}.e, c{t}.e) AS e FROM c{t} LEFT JOIN m{t} USING (k))"""
+    for t in range(_ROUNDS)
+)
+# Every distance of every round; the cluster rides in the last digit (base 8) of the smallest distance.
+OP11_SQL = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE {_USABLE} AND len(embedding) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), e) - 1 AS k, e FROM v WHERE vec_id IS NOT NULL
+  ORDER BY sha256('3:' || vec_id), e LIMIT 8){_OP11_ROUNDS},
+last AS MATERIALIZED (SELECT n, min(CAST({_NEAREST} AS BIGINT) * 8 + k) AS best FROM v, c{_ROUNDS} c GROUP BY n),
+found AS (SELECT n, best % 8 AS k, best // 8 AS distance FROM last),
+named AS (SELECT k, sha256(array_to_string(e, ',')) AS digest FROM c{_ROUNDS})
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, digest AS centroid_sha256
+FROM found JOIN v USING (n) JOIN named USING (k)
+"""
+
+ORACLES: dict[str, str] = {"op11_centroids": OP11_SQL, "op2_url_filter": OP2_SQL, "op8_secret_scan": OP8_SQL, "op9_embed_dedup": OP9_SQL, "op10_topk": OP10_SQL}
