@@ -157,16 +157,16 @@ def _round(state: DataFrame, history: list[np.ndarray]) -> DataFrame:
 
 
 def _moved(state: DataFrame, last: np.ndarray) -> np.ndarray:
-    """Floors of the means; a centroid without vectors stays. The driver gets one row per centroid."""
+    """Floors of the means; a centroid without vectors stays. The driver gets one number per component and centroid."""
     k, width = last.shape
-    each = F.transform(
-        F.sequence(F.lit(0), F.lit(k - 1)), lambda j: F.struct(j.alias("j"), F.slice("totals", j * (width + 1) + 1, F.lit(width + 1)).alias("v"))
-    )
-    rows = state.select(F.explode(each).alias("c")).select("c.j", "c.v")
-    sums = rows.groupBy("j").agg(*(F.sum(F.col("v")[at].cast("decimal(20,0)")).alias(f"s{at}") for at in range(width + 1)))
-    moved = last.copy()
+    numbers = state.select(F.posexplode("totals").alias("place", "value"))
+    sums = numbers.groupBy("place").agg(F.sum(F.col("value").cast("decimal(20,0)")).alias("total"))
+    totals = [0] * (k * (width + 1))
     for row in sums.collect():
-        j, count, *values = (int(value) for value in row)
+        totals[row.place] = int(row.total)
+    moved = last.copy()
+    for j in range(k):
+        count, *values = totals[j * (width + 1) : (j + 1) * (width + 1)]
         if count:
             moved[j] = [value // count for value in values]
     return moved
@@ -186,7 +186,7 @@ def cluster(
     Vectors that are null, have another number of components than ``width`` or
     hold a null or non-finite one are left out. Each round reads the state of the
     one before (blocks of vectors with their bounds, in the checkpoint folder), so
-    nothing is shuffled but one row of sums per task and centroid, and a
+    nothing is shuffled but the sums of each task, and a
     lost executor costs its part of a round. First centroids are the vectors of
     smallest hash; of equal ids (equal hashes) the smaller components come first. A row
     without an id takes part but starts no centroid. With fewer vectors than
