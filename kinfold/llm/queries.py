@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm import byte_bpe, centroids, embed_dedup, packing, pii, quality, secret_scan, simhash, token_count, topk, toxicity, url_filter
+from kinfold.llm import (
+    byte_bpe,
+    centroids,
+    embed_dedup,
+    packing,
+    pii,
+    prefix_trie,
+    quality,
+    secret_scan,
+    simhash,
+    token_count,
+    topk,
+    toxicity,
+    url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +79,10 @@ def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.build(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_url_filter": op2_url_filter,
@@ -78,6 +96,7 @@ QUERIES = {
     "op10_topk": op10_topk,
     "op11_centroids": op11_centroids,
     "op12_toxicity": op12_toxicity,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 # Aliases by a recursive walk over the links in the html, in the dialect of DuckDB.
@@ -221,4 +240,38 @@ SELECT vec_id, CAST(k AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER
 FROM found JOIN v USING (n) JOIN named USING (k)
 """
 
-ORACLES: dict[str, str] = {"op11_centroids": OP11_SQL, "op2_url_filter": OP2_SQL, "op8_secret_scan": OP8_SQL, "op9_embed_dedup": OP9_SQL, "op10_topk": OP10_SQL}
+# crc32 bit by bit; subtree sums over all nodes below each node of the conversation that names them.
+OP13_SQL = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS mark,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, max(i) AS n,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: [ascii(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda a, e: xor(xor(a, e) >> 1, 3988292384::BIGINT * (xor(a, e) & 1))), 4294967295::BIGINT) % 4 AS h
+  FROM t GROUP BY conv_id),
+l AS (SELECT c.*, c.conv_id - c.conv_id % 20 AS base_id, least(c.h, coalesce(b.n, 0)) AS taken FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 20),
+r AS (
+  SELECT l.conv_id, t.i AS d, mark, text FROM l JOIN t ON t.conv_id = base_id AND t.i <= taken
+  UNION ALL SELECT l.conv_id, taken + t.i - h, mark, text FROM l JOIN t ON t.conv_id = l.conv_id AND t.i > h),
+p AS (
+  SELECT conv_id, d, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words, sha256(array_to_string(list(mark) OVER (PARTITION BY conv_id ORDER BY d), ',')) AS key FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM l),
+m AS (SELECT *, min(conv_id) OVER (PARTITION BY d, key) AS node FROM p),
+lengths AS (SELECT conv_id, max(d) AS length FROM p GROUP BY conv_id),
+nodes AS (
+  SELECT node AS conv_id, d, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved,
+    coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (d = length), '') AS ended
+  FROM m JOIN lengths USING (conv_id) GROUP BY node, d),
+linked AS (SELECT nodes.*, m.node AS parent FROM nodes LEFT JOIN m ON m.conv_id = nodes.conv_id AND m.d = nodes.d - 1),
+children AS (SELECT parent AS conv_id, d - 1 AS d, count(*) AS n_children FROM linked WHERE d > 0 GROUP BY 1, 2),
+full_nodes AS (SELECT linked.*, coalesce(n_children, 0) AS n_children FROM linked LEFT JOIN children USING (conv_id, d)),
+sums AS (
+  SELECT m.node AS conv_id, m.d, sum(CASE WHEN u.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(u.saved) AS saved_tokens
+  FROM m JOIN full_nodes u ON u.conv_id = m.conv_id AND u.d >= m.d GROUP BY 1, 2)
+SELECT conv_id, d AS depth, parent AS parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(ended) AS ends_sha256
+FROM full_nodes JOIN sums USING (conv_id, d)
+"""
+
+ORACLES: dict[str, str] = {"op13_prefix_trie": OP13_SQL, "op11_centroids": OP11_SQL, "op2_url_filter": OP2_SQL, "op8_secret_scan": OP8_SQL, "op9_embed_dedup": OP9_SQL, "op10_topk": OP10_SQL}
