@@ -200,7 +200,8 @@ parts AS (
                   ELSE TRUE END),
 kept AS (
   SELECT *, place <= 3 AS base FROM parts
-  WHERE place <= 3 OR EXISTS (SELECT 1 FROM parts o WHERE o.n = parts.n AND o.role <> parts.role AND o.role <> 'endpoint'
+  WHERE place <= 3 OR EXISTS (SELECT 1 FROM parts o WHERE o.n = parts.n AND o.role <> parts.role
+                              AND ('secret' IN (o.role, parts.role) OR o.place <= 3)
                               AND o.s <= parts.e + 256 AND o.e >= parts.s - 256)),
 listed AS (
   SELECT n, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,

@@ -67,51 +67,61 @@ def find_parts(texts: DataFrame) -> DataFrame:
 
 
 def link_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """Base parts, and weak parts with a complementary part within ``scope``.
+    """Base parts, and both weak parts of every complementary pair within ``scope``.
 
-    An identifier needs a secret, a secret an identifier, an endpoint either.
+    Two parts are complementary if their roles differ. A pair counts if one of
+    them is a secret or a base part: a key with an endpoint or an identifier, an
+    endpoint with a secret or an access key, an identifier with a secret. An
+    identifier of the weak kind with an endpoint (a user name beside a web address) is
+    ordinary text, and neither is reported for it.
     The interval join runs over buckets of ``scope`` code points: a part is
     looked up in each bucket that its scope touches. Parts of one kind do not
     overlap, so a bucket never holds more than a bounded number of parts.
     """
     role = F.element_at(F.create_map(*(F.lit(x) for kind, (_, role) in KINDS.items() for x in (kind, role))), F.col("kind"))
-    parts = settled(parts.withColumn("role", role))
-    weak = parts.filter(~F.col("kind").isin(*BASE))
+    parts = settled(parts.withColumn("role", role).withColumn("base", F.col("kind").isin(*BASE)))
     bucket = lambda place: F.floor(place / scope)
-    held = parts.filter("role <> 'endpoint'").select(
+    held = parts.select(
         "_digest",
         F.explode(F.sequence(bucket(F.col("start")), bucket(F.col("end")))).alias("bucket"),
         F.col("role").alias("other_role"),
+        F.col("base").alias("other_base"),
         F.col("start").alias("other_start"),
         F.col("end").alias("other_end"),
     )
-    wanted = weak.withColumn("bucket", F.explode(F.sequence(bucket(F.col("start") - scope), bucket(F.col("end") + scope))))
+    wanted = parts.filter("not base").withColumn("bucket", F.explode(F.sequence(bucket(F.col("start") - scope), bucket(F.col("end") + scope))))
     near = (F.col("other_start") <= F.col("end") + scope) & (F.col("other_end") >= F.col("start") - scope)
-    linked = wanted.join(held, ["_digest", "bucket"]).filter(near & (F.col("role") != F.col("other_role")))
+    counts = (F.col("role") == "secret") | (F.col("other_role") == "secret") | F.col("other_base")
+    linked = wanted.join(held, ["_digest", "bucket"]).filter(near & (F.col("role") != F.col("other_role")) & counts)
     linked = linked.select("_digest", "kind", "start", "end").distinct()
-    return parts.filter(F.col("kind").isin(*BASE)).select("_digest", "kind", "start", "end").unionByName(linked)
+    return parts.filter("base").select("_digest", "kind", "start", "end").unionByName(linked)
 
 
 def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _per_text(docs: DataFrame, text: str, scope: int) -> tuple[DataFrame, DataFrame]:
-    """The rows with ``_text`` and ``_digest``, and per digest its spans in order."""
-    marked = _digested(docs, text)
+def _per_text(marked: DataFrame, scope: int) -> DataFrame:
+    """Per digest of the ``marked`` texts its spans in order."""
     parts = link_parts(find_parts(marked.select("_text", "_digest").filter("_digest is not null")), scope)
     place = F.array_position(F.lit(list(KINDS)), F.col("kind")).alias("place")
-    spans = parts.groupBy("_digest").agg(F.sort_array(F.collect_list(F.struct("start", place, "kind", "end"))).alias("found"))
-    return marked, spans
+    return parts.groupBy("_digest").agg(F.sort_array(F.collect_list(F.struct("start", place, "kind", "end"))).alias("found"))
 
 
 def scan(docs: DataFrame, text: str = "text", keys: tuple = ("doc_id",), scope: int = SCOPE) -> DataFrame:
     """``keys``, ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256``, ``spans`` and ``n_linked`` per row.
 
     A null text counts as empty; a text without spans has empty lists. Repeated
-    rows stay. The spans of one text are one row, bounded by that text.
+    rows stay. The spans of one text are one row, bounded by that text. Texts are
+    read once: of those without a part only a hash is kept, the others go to the checkpoint folder.
     """
-    marked, spans = _per_text(docs, text, scope)
+    own = [F.col("_all")[key].alias(key) for key in keys]
+    apart = F.concat(F.lit("-"), F.xxhash64(*own, "_text").cast("string"))
+    marked = _digested(docs, text).select(
+        *own, F.coalesce("_digest", apart).alias("_key"), "_digest", F.when(F.col("_digest").isNotNull(), F.col("_text")).alias("_text")
+    )
+    marked = settled(marked)
+    spans = _per_text(marked, scope)
     base = F.filter("found", lambda s: s["kind"].isin(*BASE))
     count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("bigint")
     known = settled(
@@ -124,9 +134,7 @@ def scan(docs: DataFrame, text: str = "text", keys: tuple = ("doc_id",), scope:
         )
     )
     # Texts without parts look for a key of their own, so that they stay spread out.
-    own = [F.col("_all")[key].alias(key) for key in keys]
-    apart = F.concat(F.lit("-"), F.xxhash64(*own, "_text").cast("string"))
-    rows = marked.select(*own, F.coalesce("_digest", apart).alias("_key"))
+    rows = marked.select(*keys, "_key")
     zero = {f"n_{kind}": F.lit(0).cast("bigint") for kind in BASE} | {"n_linked": F.lit(0).cast("bigint")}
     none = zero | {"base_sha256": F.sha2(F.lit(""), 256), "spans": F.lit("")}
     columns = [*(f"n_{kind}" for kind in BASE), "base_sha256", "spans", "n_linked"]
@@ -139,7 +147,8 @@ def redact(docs: DataFrame, text: str = "text", scope: int = SCOPE, mask: str =
     Rows without spans are not shuffled. A column ``n_chars`` is counted anew
     where the text changes; a null text stays null.
     """
-    marked, spans = _per_text(docs, text, scope)
+    marked = _digested(docs, text)
+    spans = _per_text(marked, scope)
     intervals = F.transform("found", lambda s: F.struct(s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end")))
     start = F.struct(F.array().cast("array<struct<start:int,end:int>>").alias("done"), F.lit(-1).alias("start"), F.lit(-1).alias("end"))
 

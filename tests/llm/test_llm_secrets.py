@@ -47,7 +47,12 @@ def test_weak_parts_need_complements(spark):
             "https://only.example.com/",
             "client_id = abcd1234 password=hunter2hunter2",
             "client_id = abcd1234",
-            f"{KEY} at https://db.example.com",  # a weak secret and an endpoint: the endpoint has a secret
+            f"{KEY} at https://db.example.com",  # a weak secret and an endpoint: both
+            "username: alice, see https://site.org",  # an identifier and an endpoint without a secret: neither
+            f"username: alice, see https://site.org {far} {KEY}",  # the secret is out of scope of both
+            f"username: alice, see https://site.org with {KEY}",
+            "https://site.org/x password=hunter2hunter2",
+            f"client_id = abcd1234 {AKIA}",  # two identifiers
         ],
     )
     kinds = {i: [span.split(":")[0] for span in row.spans.split(",") if span] for i, row in rows.items()}
@@ -59,7 +64,12 @@ def test_weak_parts_need_complements(spark):
         4: [],
         5: ["identifier", "assign"],
         6: [],
-        7: ["endpoint"],
+        7: ["key", "endpoint"],
+        8: [],
+        9: [],
+        10: ["identifier", "endpoint", "key"],
+        11: ["endpoint", "assign"],
+        12: ["access"],
     }
 
 
@@ -81,6 +91,37 @@ def test_overlapping_spans_are_masked_once(spark):
     assert {row.text for row in secret_scan.redact(rows).collect()} == {"a [secret] b [secret] é [secret] end"}
 
 
+def test_no_key_stays_beside_an_endpoint(spark):
+    texts = [f"{KEY} at https://db.example.com", "username: alice, see https://site.org", f"mysql://db.example.com/ {KEY}."]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    masked = {row.doc_id: row.text for row in secret_scan.redact(rows).collect()}
+    assert masked == {0: "[secret] at [secret]", 1: texts[1], 2: "[secret] [secret]."}
+
+
+ROLES = {"assign": "secret", "access": "identifier", "hex": "secret", "identifier": "identifier", "key": "secret", "endpoint": "endpoint"}
+
+
+def test_links_equal_all_pairs(spark):
+    rng = random.Random(8)
+    rows = []
+    for text in range(40):
+        for _ in range(rng.randint(0, 12)):
+            start = rng.randint(0, 1_500)
+            rows.append((f"t{text}", rng.choice(list(ROLES)), start, start + rng.randint(5, 600)))
+    rows = sorted(set(rows))
+    frame = spark.createDataFrame(rows, "_digest string, kind string, start bigint, end bigint")
+
+    def reported(part):
+        base = secret_scan.BASE
+        if part[1] in base:
+            return True
+        near = [o for o in rows if o[0] == part[0] and o[2] <= part[3] + 100 and o[3] >= part[2] - 100]
+        return any(ROLES[o[1]] != ROLES[part[1]] and ("secret" in (ROLES[o[1]], ROLES[part[1]]) or o[1] in base) for o in near)
+
+    got = sorted(tuple(row) for row in secret_scan.link_parts(frame, 100).collect())
+    assert got == sorted(part for part in rows if reported(part))
+
+
 def test_only_dataframe_functions(spark, messy):
     plan = secret_scan.scan(messy)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
