@@ -63,17 +63,20 @@ class Classifier:
         return float(1 / (1 + np.exp(-np.clip(raw, -500, 500))))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic") -> DataFrame:
-    """``id``, ``text``, ``y`` of the labelled rows that are not held out.
+def training_labels(labels: DataFrame, doc_id: str = "doc_id", label: str = "toxic") -> DataFrame:
+    """``id`` and ``y`` of the labelled documents that are not held out.
 
     A document with several labels has the one of most rows, 1 where they are
-    even; null labels and ids are passed over. Spark chooses the join by the size
-    of the labels.
+    even; null labels and ids are passed over.
     """
     wanted = labels.filter(F.col(label).isNotNull() & (remainder(F.col(doc_id)) != HELD_OUT))
-    wanted = wanted.groupBy(F.col(doc_id).alias("id")).agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("y"))
+    return wanted.groupBy(F.col(doc_id).alias("id")).agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("y"))
+
+
+def labelled(docs: DataFrame, wanted: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``id``, ``text``, ``y`` of the rows of ``docs`` in ``wanted``; the texts are shuffled once, by id, at every size."""
     rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    return rows.join(wanted, "id")
+    return rows.join(wanted.hint("shuffle_hash"), "id")
 
 
 def counts(rows: DataFrame) -> DataFrame:
@@ -105,12 +108,15 @@ def ratios(counted: DataFrame, toxic: int, clean: int) -> tuple[np.ndarray, np.n
     return chosen.bucket.to_numpy(np.int64), chosen.ratio.to_numpy(float)
 
 
-def _sample(rows: DataFrame, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the chosen features of the sampled rows, one after another, where each row starts, and the labels."""
-    spread = F.xxhash64("id")
-    narrow = rows.select("id", "y")
-    kinds = [narrow.filter(F.col("y") == y).distinct().orderBy(spread, "id").limit(SAMPLE) for y in (0, 1)]
-    drawn = kinds[0].unionByName(kinds[1]).select("id")  # at most 2 x SAMPLE ids
+def _sample(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the chosen features of the sampled rows, one after another, where each row starts, and the labels.
+
+    The sample is drawn from ids and labels alone; its at most 2 x ``SAMPLE`` ids are broadcast to the texts.
+    """
+    held = docs.select(F.col(doc_id).alias("id")).distinct().join(wanted, "id")
+    kinds = [held.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(SAMPLE) for y in (0, 1)]
+    drawn = settled(kinds[0].unionByName(kinds[1]))
+    rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     place = np.full(1 << BITS, -1, np.int32)
     place[buckets] = np.arange(len(buckets))
 
@@ -185,15 +191,15 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     the kinds count as in all rows. Without labels every score is 0.5, with one
     kind of label it is the smoothed share of label 1.
     """
-    rows = training_rows(docs, labels, text, doc_id, label)
-    counted = settled(counts(rows))
+    wanted = training_labels(labels, doc_id, label)
+    counted = settled(counts(labelled(docs, wanted, text, doc_id)))
     everything = counted.filter(F.col("bucket") == 1 << BITS).first()
     toxic, clean = (int(everything.toxic), int(everything.clean)) if everything else (0, 0)
     if not toxic or not clean:
         share = (toxic + 1) / (toxic + clean + 2) if toxic + clean else UNKNOWN
         return Classifier(np.zeros(0), float(np.log(share / (1 - share))))
     buckets, scale = ratios(counted, toxic, clean)
-    places, starts, y = _sample(rows, buckets)
+    places, starts, y = _sample(docs, wanted, text, doc_id, buckets)
     weight = np.where(y == 1, toxic / max(y.sum(), 1), clean / max((1 - y).sum(), 1))
     learned, intercept = logistic(places, starts, y, weight * len(y) / weight.sum(), scale)
     weights = np.zeros(1 << BITS)
