@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
@@ -49,7 +49,7 @@ def salted_join(
 ) -> DataFrame:
     """Equi join whose ``hot`` left keys are dealt out over ``SALTS`` tasks; a plain join without any.
 
-    Left rows of a hot key get a salt from a hash of their other columns; right
+    Left rows of a hot key get a salt from a hash of their other columns, maps included; right
     rows of that key are repeated once per salt. Every left row still meets
     every right row of its key exactly once, so inner, left, left_semi and
     left_anti joins all keep their meaning. Keys below the limit take salt 0, the
@@ -58,15 +58,7 @@ def salted_join(
     if hot is None:
         return left.join(right, keys, how)
     mark = checked_broadcast(hot.select(*keys).withColumn("_hot", F.lit(True)))
-    spread = [
-        field.name for field in left.schema.fields if field.name not in keys and not isinstance(field.dataType, MapType)
-    ]
-    deal = F.pmod(F.xxhash64(*spread), F.lit(SALTS)) if spread else F.floor(F.rand(7) * SALTS)
-    salted_left = (
-        left.join(mark, keys, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), deal.cast("int")).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
+    salted_left = left.join(mark, keys, "left").withColumn("_salt", _salt(left, keys)).drop("_hot")
     every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
     salted_right = (
         right.join(mark, keys, "left")
@@ -76,6 +68,18 @@ def salted_join(
     return salted_left.join(salted_right, keys + ["_salt"], how).drop("_salt")
 
 
+def _salt(rows: DataFrame, keys: list[str]) -> Column:
+    """The salt of a row marked ``_hot``, 0 for others: a hash of all its other columns.
+
+    Maps have no hash of their own; theirs is that of their JSON text, made for hot
+    rows only. Rows with no other column are alike, and dealt out by their place in the task.
+    """
+    others = [field for field in rows.schema.fields if field.name not in keys]
+    hashed = [F.to_json(field.name) if isinstance(field.dataType, MapType) else F.col(field.name) for field in others]
+    deal = F.xxhash64(*hashed) if hashed else F.monotonically_increasing_id()
+    return F.when(F.col("_hot"), F.pmod(deal, F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+
+
 def checked_broadcast(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, settle: bool = False) -> DataFrame:
     """Broadcast a configuration-like table once its row count is known to be small.
 

@@ -1,6 +1,7 @@
 from graphs import rows
 from pyspark.sql import functions as F
 
+from kinfold import skew
 from kinfold.skew import checked_broadcast, hot_keys, salted_join
 
 HOWS = ("inner", "left", "left_semi", "left_anti")
@@ -54,3 +55,19 @@ def test_checked_broadcast(spark):
     assert "rightHint=(strategy=broadcast)" not in small.join(
         checked_broadcast(small, max_rows=5), "id"
     )._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_salts_come_from_maps_too(spark):
+    """1,000 parallel edges differ in their properties alone; they still use most salts, and every salt is a function of the row."""
+    left = spark.range(1000).select(
+        F.lit(1).alias("k"), F.array(F.lit("A")).alias("labels"), F.create_map(F.lit("p"), F.array(F.col("id").cast("string"))).alias("props")
+    )
+    marked = left.withColumn("_hot", F.lit(True))
+    salts = marked.select(skew._salt(left, ["k"]).alias("s"), "props").collect()
+    assert len({row.s for row in salts}) >= 32 and all(0 <= row.s < skew.SALTS for row in salts)
+    again = marked.repartition(3).select(skew._salt(left, ["k"]).alias("s"), "props").collect()
+    assert {(row.s, str(row.props)) for row in again} == {(row.s, str(row.props)) for row in salts}
+    bare = spark.range(0, 640, 1, 4).select(F.lit(1).alias("k")).withColumn("_hot", F.lit(True))
+    assert bare.select(skew._salt(bare.select("k"), ["k"]).alias("s")).distinct().count() >= 32
+    cold = left.withColumn("_hot", F.lit(None).cast("boolean"))
+    assert cold.select(skew._salt(left, ["k"]).alias("s")).distinct().collect() == [(0,)]
