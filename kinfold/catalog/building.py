@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kinfold.catalog import sql
 from kinfold.functions.values import is_valid, strip
 from kinfold.model import Graph, listing, props, scalar, vals
-from kinfold.operators import link, resolve
+from kinfold.operators import incremental, link, resolve
 from kinfold.operators.link import EdgeDefinition
 from kinfold.operators.resolve import Blueprint
 from kinfold.sources import tables
@@ -115,6 +115,17 @@ def concept_reruns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.join(graph.edges.select(F.col("dst").alias("id"), "src"), "id", "left")
 
 
+def concept_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Concepts of the suppliers first; the customers come later and are added to them."""
+    suppliers, customers = tables.supplier_nodes(spark, sf_dir), tables.customer_nodes(spark, sf_dir)
+    state = incremental.start(suppliers, PARTNERS)
+    graph, state = incremental.integrate_more(Graph.of(suppliers.filter("false")), state, suppliers, PARTNERS)
+    graph, _ = incremental.integrate_more(graph, state, customers, PARTNERS)
+    mapped = graph.edges.select(F.col("dst").alias("id"), F.lit("member").alias("key"), F.col("src").cast("string").alias("val"))
+    own = graph.nodes.filter("id < 0").select("id", F.get("labels", F.lit(0)).alias("label"))
+    return own.join(graph.node_values.select("id", "key", "val").unionByName(mapped), "id")
+
+
 def drop_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     graph = resolve.drop_label(tables.table_graph(spark, sf_dir), "Src_Part")
     nodes = graph.nodes.groupBy(F.get("labels", F.lit(0)).alias("name")).agg(F.count("*").alias("n"))
@@ -194,6 +205,7 @@ QUERIES = {
     "concept_nodes": concept_nodes,
     "concept_mappings": concept_mappings,
     "concept_reruns": concept_reruns,
+    "concept_growth": concept_growth,
     "drop_label": drop_label,
     "value_links": value_links,
     "value_link_hubs": value_link_hubs,
@@ -256,6 +268,11 @@ SELECT DISTINCT concept_id AS id, concept AS label, universal_id, 'true' AS mapp
     "concept_mappings": f"""
 WITH {_CONCEPTS}
 SELECT id AS src, label AS src_label, 'MAPPED_TO' AS rel, concept_id AS dst, concept AS dst_label FROM k
+""",
+    "concept_growth": f"""
+WITH {_CONCEPTS}
+SELECT DISTINCT concept_id AS id, concept AS label, 'merged_ids' AS key, raw AS val FROM k
+UNION ALL SELECT concept_id, concept, 'member', CAST(id AS VARCHAR) FROM k
 """,
     "concept_reruns": f"""
 WITH {_CONCEPTS}
