@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kinfold.catalog import filtering, sql
 from kinfold.functions.names import column_names
-from kinfold.model import property_rows
+from kinfold.model import Graph, empty, property_rows
 from kinfold.operators import accession, policy, routing, scan
 from kinfold.session import ensure_checkpoint_dir
 from kinfold.sources import files, tables
@@ -45,19 +45,19 @@ def merged_id_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def id_config(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A configuration line per nation, the list form for every second one, read back as settings."""
-    key = F.col("n_nationkey")
-    example = F.concat(F.lit("N"), F.col("n_regionkey").cast("string"), F.lit(":"), (key + 100).cast("string"))
+    """A configuration line per customer, the list form for every second one, read back as settings."""
+    key = F.col("c_custkey")
+    example = F.concat(F.lit("N"), F.col("c_nationkey").cast("string"), F.lit(":"), (key + 100).cast("string"))
     example = F.when(key % 2 == 0, F.concat(F.lit("["), example, F.lit("]"))).otherwise(example)
-    line = F.concat(F.col("n_name"), F.lit("; ids ;  "), example)
-    path = _text(table(spark, sf_dir, "nation").select(line.alias("value")).coalesce(1), shared_folder(spark))
-    rows = [(c.label, c.property, c.is_list, c.prefix) for c in files.read_id_config(spark, path)]
-    return spark.createDataFrame(rows, "label string, property string, is_list boolean, prefix string")
+    line = F.concat(F.col("c_name"), F.lit("; ids ;  "), example)
+    path = _text(table(spark, sf_dir, "customer").select(line.alias("value")), shared_folder(spark))
+    return files.id_config_rows(spark, path).drop("place")
 
 
 def saved_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All suppliers saved as records in two appends, then read back."""
     suppliers, folder = table(spark, sf_dir, "supplier"), shared_folder(spark)
+    files.save_snapshot(Graph.of(empty(spark, "nodes")), folder)
     name = F.when(F.col("s_suppkey") % 3 > 0, F.col("s_name"))
     for part in (0, 1):
         rows = scan.save_record(
@@ -97,7 +97,7 @@ def valid_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def safe_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column names of all part names, by brand: spaces become underscores, equal names get numbers."""
-    key = F.concat(F.upper(F.substring("p_name", 1, 1)), F.substring("p_name", 2, 8), F.when(F.col("p_size") % 2 == 0, " ").otherwise("-"))
+    key = F.concat(F.upper(F.substring("p_name", 1, 1)), F.substr("p_name", F.lit(2)), F.when(F.col("p_size") % 2 == 0, " ").otherwise("-"))
     parts = table(spark, sf_dir, "part").select(F.col("p_brand").alias("label"), key.alias("key"))
     return column_names(parts)
 
@@ -113,23 +113,23 @@ def sampled_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def identity_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Identity groups, one per region with its nations, read as blueprints."""
-    nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    member = F.struct(F.concat(F.lit("Src_"), F.col("n_name")).alias("nodelabel"), F.lit("ids").alias("attribute"))
-    groups = nations.groupBy("r_name").agg(F.to_json(F.array_sort(F.collect_list(member))).alias("json"))
-    path = _text(_object(groups, F.col("r_name"), F.col("json")), shared_folder(spark))
-    rows = [(b.concept, name, *field) for b in files.read_identity_groups(spark, path) for name, field in b.fields.items()]
-    return spark.createDataFrame(rows, "concept string, field string, label string, key string")
+    """Identity groups, one object a line per supplier with its name and its nation, read back by row."""
+    member = lambda label, key: F.struct(label.alias("nodelabel"), F.lit(key).alias("attribute"))
+    nation = F.concat(F.lit("Src_"), F.col("s_nationkey").cast("string"))
+    listed = F.array(member(F.lit("Src_Supplier"), "name"), member(nation, "ids"))
+    lines = table(spark, sf_dir, "supplier").select(F.to_json(F.create_map(F.col("s_name"), listed)).alias("value"))
+    rows = files.identity_group_rows(spark, _text(lines, shared_folder(spark)), lines=True)
+    return rows.select("concept", F.col("pos").alias("place"), "label", "key")
 
 
 def nested_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Region → nation → key, as a list for every second nation, read back by row."""
-    key = (F.col("n_nationkey") + 0).cast("string")
-    value = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit('["'), key, F.lit('","x"]'))).otherwise(F.concat(F.lit('"'), key, F.lit('"')))
-    nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    entry = F.concat(F.lit('"'), F.col("n_name"), F.lit('":'), value)
-    groups = nations.groupBy("r_name").agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list(entry)), ","), F.lit("}")).alias("json"))
-    return files.read_nested_catalogue(spark, _text(_object(groups, F.col("r_name"), F.col("json")), shared_folder(spark)), "region", "nation")
+    """Brand and part → key, one object a line per part, as a list for every second one, read back by row."""
+    key = F.col("p_partkey").cast("string")
+    text = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit('["'), key, F.lit('","x"]'))).otherwise(F.concat(F.lit('"'), key, F.lit('"')))
+    name = lambda column: F.concat(F.lit('{"'), column, F.lit('":'))
+    line = F.concat(name(F.col("p_brand")), name(F.concat(F.lit("part "), key)), text, F.lit("}}"))
+    lines = table(spark, sf_dir, "part").select(line.alias("value"))
+    return files.read_nested_catalogue(spark, _text(lines, shared_folder(spark)), "brand", "part", lines=True)
 
 
 QUERIES = {
@@ -149,7 +149,7 @@ _KEPT = " UNION ALL ".join(f"SELECT '{label}' AS label, '{key}' AS key" for labe
 ORACLES = {
     "merged_id_dump": 'SELECT o_orderkey AS old, o_custkey AS "new" FROM orders',
     "id_config": """
-SELECT n_name AS label, 'ids' AS property, n_nationkey % 2 = 0 AS is_list, 'N' || n_regionkey || ':' AS prefix FROM nation
+SELECT c_name AS label, 'ids' AS property, c_custkey % 2 = 0 AS is_list, 'N' || c_nationkey || ':' AS prefix FROM customer
 """,
     "saved_records": """
 SELECT s_suppkey AS id, 'nation' AS key, CAST(s_nationkey AS VARCHAR) AS val FROM supplier
@@ -163,18 +163,18 @@ SELECT label, coalesce(string_agg(key, ',' ORDER BY key) FILTER (kept), '') AS k
 """,
     "valid_specs": f"SELECT label, min(key) AS property FROM ({sql.ALL_VALUES}) WHERE length(label) % 2 = 0 GROUP BY label",
     "safe_columns": """
-WITH k AS (SELECT DISTINCT p_brand AS label, upper(substr(p_name, 1, 1)) || substr(p_name, 2, 8) || CASE WHEN p_size % 2 = 0 THEN ' ' ELSE '-' END AS key FROM part),
+WITH k AS (SELECT DISTINCT p_brand AS label, upper(substr(p_name, 1, 1)) || substr(p_name, 2) || CASE WHEN p_size % 2 = 0 THEN ' ' ELSE '-' END AS key FROM part),
 n AS (SELECT *, lower(regexp_replace(key, '[^a-zA-Z0-9_]', '_', 'g')) AS name FROM k),
 r AS (SELECT *, row_number() OVER (PARTITION BY label, name ORDER BY key) - 1 AS nth FROM n)
 SELECT label, key, CASE WHEN nth = 0 THEN name ELSE name || '_' || nth END AS "column" FROM r
 """,
     "sampled_scores": "SELECT count(*) AS n, CAST(0 AS BIGINT) AS differ, TRUE AS near_rate FROM documents",
     "identity_groups": """
-SELECT r_name AS concept, 'Src_' || n_name || '.ids' AS field, 'Src_' || n_name AS label, 'ids' AS key
-FROM nation JOIN region ON n_regionkey = r_regionkey
+SELECT s_name AS concept, 0 AS place, 'Src_Supplier' AS label, 'name' AS key FROM supplier
+UNION ALL SELECT s_name, 1, 'Src_' || s_nationkey, 'ids' FROM supplier
 """,
     "nested_catalogue": """
-SELECT r_name AS region, n_name AS nation, CAST(n_nationkey AS VARCHAR) AS value FROM nation JOIN region ON n_regionkey = r_regionkey
-UNION ALL SELECT r_name, n_name, 'x' FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 2 = 0
+SELECT p_brand AS brand, 'part ' || p_partkey AS part, CAST(p_partkey AS VARCHAR) AS value FROM part
+UNION ALL SELECT p_brand, 'part ' || p_partkey, 'x' FROM part WHERE p_partkey % 2 = 0
 """,
 }
