@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+from zlib import crc32
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,9 +18,9 @@ from kinfold.llm.batches import SLICE, in_arrow
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 96, 48  # every place near an anchor lies in two windows
-SAMPLE = 1_000  # texts whose windows the tagger is trained on: the bound of the training data
-PER_TEXT = 8  # training windows of one text at most
-SURE = 0.9  # mean probability of a span's tags from which it is added
+SAMPLE = 1_000  # texts whose windows the tagger is trained on, and
+PER_TEXT = 8  # windows of each of them, drawn by hash from all of its windows: the bounds of the training data
+SURE = 0.5  # mean probability of a span's tags from which it is added
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -220,7 +222,7 @@ class Tagger:
         np.add.at(grads["embedding"], x, inputs[0] + inputs[1][:, ::-1])
         return float((total - gold).mean()), grads
 
-    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 160, batch: int = 48, rate: float = 0.02, seed: int = 9) -> list[float]:
+    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 400, batch: int = 64, rate: float = 0.02, seed: int = 9) -> list[float]:
         """Adam over shuffled batches; returns the losses."""
         rng = np.random.default_rng(seed)
         first = {k: np.zeros_like(v) for k, v in self.weights.items()}
@@ -240,9 +242,9 @@ class Tagger:
 
 
 def window_starts(anchors: list[int]) -> list[int]:
-    """Starts of the windows on the grid that hold an anchor."""
+    """Starts of the windows on the grid that hold an anchor or lie beside one that does."""
     cells = {place // STRIDE for place in anchors}
-    return [cell * STRIDE for cell in sorted(cells | {cell - 1 for cell in cells}) if cell >= 0]
+    return [cell * STRIDE for cell in sorted({cell + beside for cell in cells for beside in (-2, -1, 0, 1)}) if cell >= 0]
 
 
 def tagged(start: int, spans: list[Span]) -> np.ndarray:
@@ -257,16 +259,113 @@ def tagged(start: int, spans: list[Span]) -> np.ndarray:
     return tags
 
 
+def _grouped(digits: str, sizes: list[int], mark: str) -> str:
+    places = [sum(sizes[:n]) for n in range(len(sizes) + 1)]
+    return mark.join(part for a, b in zip(places, [*places[1:], len(digits)]) if (part := digits[a:b]))
+
+
+def varied(kind: int, rng: random.Random) -> str:
+    """A made-up value of a kind in one of the forms in which it is written, most of which no rule matches."""
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    word = lambda letters, low, high: "".join(rng.choices(letters, k=rng.randint(low, high)))
+    if kind == 0:
+        letters = rng.choice(["abcdefghijklmnoprstuvw", "abcdefgäöüßéèñçø", "абвгдежик"])
+        parts = [word(letters, 2, 14) for _ in range(rng.choice([1, 1, 2, 2, 3, 5]))]
+        local = rng.choice([word("abcdefghijklmnop", 2, 9), f"{word('abcdefgh', 2, 7)}.{word('hijklmno', 2, 8)}", f"{word('abcdefgh', 2, 6)}{digits(2)}"])
+        return f"{local}@{rng.choice('.-') .join(parts)}{rng.choice(['', '', '.com', '.org', '.de'])}"
+    if kind == 1:
+        return rng.choice(".-:,_").join(str(rng.randint(0, rng.choice([9, 255, 255]))) for _ in range(4))
+    if kind == 2:
+        number = digits(rng.choice([13, 14, 15, 15, 15, 18]) - 1)
+        number += next(c for c in "0123456789" if luhn(number + c))
+        return _grouped(number, [4, 4, 4, 4], rng.choice(["", " ", "-", ".", "/"]))
+    country = rng.choice(["+", "00"]) + str(rng.randint(1, 99))
+    return rng.choice(
+        [
+            f"{country} ({digits(3)}) {digits(3)}-{digits(4)}",
+            f"({digits(3)}) {digits(3)}-{digits(4)}",
+            f"{country} {digits(2)} {digits(3)} {digits(3)} {digits(2)}",
+            _grouped(digits(10), [3, 3, 4], rng.choice("-. ")),
+            f"0{digits(3)}{rng.choice(' /-')}{digits(6)}",
+        ]
+    )
+
+
+def harmless(rng: random.Random) -> str:
+    """Digits that are no personal data."""
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    return rng.choice(
+        [
+            f"{rng.randint(1900, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}",
+            f"{rng.randint(1, 28)}.{rng.randint(1, 12)}.{rng.randint(1900, 2030)}",
+            f"{rng.randint(10, 23)}:{rng.randint(10, 59)}",
+            f"{rng.randint(1, 9)}.{rng.randint(0, 20)}.{rng.randint(0, 20)}",
+            f"{rng.randint(1, 999)},{digits(3)}.{digits(2)}",
+            digits(rng.choice([1, 2, 3, 4, 5, 6, 9, 11, 16, 20])),
+            f"#{digits(rng.randint(2, 8))}",
+            f"{rng.randint(1, 400)}-{rng.randint(1, 400)}",
+            f"@{rng.choice(['home', 'all', 'noon'])} {digits(2)}",
+        ]
+    )
+
+
+def _doubtful(text: str, spans: list[Span]) -> list[Span]:
+    """Places that look like a kind but failed its rule: no label, neither way, so no window with one is trained on."""
+    found = [(1, *m.span()) for m in _IP.finditer(text)] + [(3, *m.span()) for m in _PHONE.finditer(text)]
+    found += [(2, *m.span()) for m in _CARD.finditer(text) if 13 <= len(_digits(m[0])) <= 19]
+    found += [(0, m.start(), m.end()) for m in re.finditer("@", text)]
+    return [(kind, a, b) for kind, a, b in found if not any(k == kind and x <= a and b <= y for k, x, y in spans)]
+
+
 def training_windows(text: str) -> list[tuple[str, list[int]]]:
-    """Labelled windows of one text. A window with a phone comes again without the plus sign and country number."""
+    """Labelled windows of one text, at most ``PER_TEXT`` of its own, those with spans first, and variants of them.
+
+    In a variant one span is written in another form of its kind, or a value of
+    each kind (sometimes with other digits right after it) or a harmless number stands
+    between two words, so that the tagger learns more than the rules
+    find. Choices follow from a hash of the text.
+    """
+    rng = random.Random(crc32(text.encode("utf-8", "surrogatepass")))
     spans = base_spans(text)
+    doubtful = _doubtful(text, spans)
+    starts = window_starts([m.start() for m in _ANCHOR.finditer(text)])
+    starts = [start for start in starts if not _overlaps(doubtful, start, start + WINDOW)]
+    rng.shuffle(starts)
+    starts.sort(key=lambda start: not _overlaps(spans, start, start + WINDOW))
     found = []
-    for start in window_starts([m.start() for m in _ANCHOR.finditer(text)])[:PER_TEXT]:
-        found.append((text[start : start + WINDOW], tagged(start, spans).tolist()))
-        for kind, first, last in spans:
-            if kind == 3 and (cut := re.match(r"\+[0-9]+[ -]+", text[first:last])) and start <= first and last <= start + WINDOW:
-                shorter = text[start:first] + text[first + cut.end() : start + WINDOW]
-                found.append((shorter, tagged(start, [(3, first, last - cut.end())]).tolist()))
+
+    def put(start: int, end: int, values: list[tuple[int, str]], before: str, after: str) -> None:
+        """The window from ``start`` with ``values`` (kind or -1, text) in place of what ends at ``end``."""
+        first = start + len(before)
+        fresh, written = [], ""
+        for kind, value in values:
+            if kind >= 0:
+                fresh.append((kind, first + len(written), first + len(written) + len(value)))
+            written += value
+        shift = first + len(written) - end
+        fresh += [(kind, a + shift, b + shift) for kind, a, b in spans if a >= end]
+        fresh += [(kind, a, b) for kind, a, b in spans if b <= first]
+        whole = before + written + after
+        if len(whole) >= 2 * len(before):  # the value itself lies in the window
+            found.append((whole[:WINDOW], tagged(start, fresh).tolist()))
+
+    for start in starts[:PER_TEXT]:
+        window = text[start : start + WINDOW]
+        found.append((window, tagged(start, spans).tolist()))
+        for kind, a, b in spans:
+            if start <= a and b <= start + WINDOW:
+                put(start, b, [(kind, varied(kind, rng))], text[start:a], text[b : start + WINDOW])
+    gaps = [m.start() for m in re.finditer(r" (?=\w)", text[: 50 * WINDOW]) if not _overlaps(spans, m.start(), m.start() + 1) and not _overlaps(doubtful, m.start() - WINDOW, m.start() + WINDOW)]
+    for kind in (0, 0, 1, 2, 3, 3, -1, -1):
+        if not gaps:
+            break
+        place = rng.choice(gaps) + 1
+        start = max(place - rng.randint(0, WINDOW - 20), 0)
+        values = [(kind, varied(kind, rng) if kind >= 0 else harmless(rng))]
+        if kind in (1, 3) and rng.random() < 0.4:
+            values += [(-1, " "), (1, ".".join(str(rng.randint(0, 255)) for _ in range(4)))]
+        values.append((-1, rng.choice([" ", ", ", ". ", " "])))
+        put(start, place, values, text[start:place], text[place : place + WINDOW])
     return found
 
 
@@ -298,16 +397,50 @@ def train(docs: DataFrame, text: str = "text") -> Tagger | None:
     return tagger
 
 
+_EDGE = frozenset(" \t\n\r\x0b\x0c\"'<>()[]{},;|")
+_NUMBER = {1: re.compile(r"[0-9]+(?:[^0-9A-Za-z\s][0-9]+){3}"), 2: re.compile(r"[0-9 ./-]+"), 3: re.compile(r"[(+0-9][0-9 ()./-]*[0-9]")}
+
+
+def snapped(text: str, kind: int, start: int, end: int, covered: np.ndarray) -> tuple[int, int]:
+    """The span with its edges on those of the word or number that it touches, never over a rule span."""
+    if kind == 0:
+        start = end = max(text.find("@", start, end), start)  # an address has no blanks: it is the word around its sign
+        while start > 0 and text[start - 1] not in _EDGE and not covered[start - 1]:
+            start -= 1
+        while end < len(text) and text[end] not in _EDGE and not covered[end]:
+            end += 1
+        while end > start and not text[end - 1].isalnum():
+            end -= 1
+        while start < end and not text[start].isalnum():
+            start += 1
+        return start, end
+    digit = lambda place: "0" <= text[place] <= "9" and not covered[place]
+    while start > 0 and digit(start - 1):
+        start -= 1
+    while end < len(text) and digit(end):
+        end += 1
+    if kind == 3 and start > 0 and text[start - 1] in "+(" and not covered[start - 1]:
+        start -= 1
+    while end > start and not digit(end - 1):
+        end -= 1
+    while start < end and not (digit(start) or kind == 3 and text[start] in "+("):
+        start += 1
+    return start, end
+
+
 def plausible(kind: int, value: str) -> bool:
-    """What the tagger adds must look like its kind, rules aside."""
-    digits = _digits(value)
+    """Length and characters of a kind; a card's check sum too, since any number of its length would do otherwise."""
     if kind == 0:
-        return value.count("@") == 1 and len(value) > 4 and value[0].isalnum() and value[-1].isalnum() and " " not in value
+        local, _, domain = value.partition("@")
+        return bool(local) and len(domain) > 3 and "@" not in domain and ":" not in value and "/" not in value
+    digits = _digits(value)
+    if not _NUMBER[kind].fullmatch(value):
+        return False
     if kind == 1:
-        return bool(re.fullmatch(r"[0-9]+(?:[^0-9A-Za-z\s][0-9]+){3}", value)) and _low_parts(re.sub("[^0-9]", ".", value))
+        return _low_parts(re.sub("[^0-9]", ".", value))
     if kind == 2:
-        return 13 <= len(digits) <= 19 and luhn(digits) and bool(re.fullmatch(r"[0-9 .-]+", value))
-    return 10 <= len(digits) <= 15 and len(value) - len(digits) >= 2 and bool(re.fullmatch(r"[(+0-9][0-9 ().-]*[0-9]", value))
+        return 13 <= len(digits) <= 19 and luhn(digits)
+    return 8 <= len(digits) <= 15 and len(value) - len(digits) >= (1 if value[0] in "+(0" else 2)
 
 
 def _overlaps(spans: list[Span], start: int, end: int) -> bool:
@@ -318,18 +451,23 @@ def added_spans(tagger: Tagger, texts: list[str], bases: list[list[Span]]) -> li
     """Spans that the tagger finds beside the base spans, per text.
 
     Windows lie around digits and ``@`` that no base span covers, since each
-    span added has one of those. A span that touches an inner window edge is left
-    to the next window, which holds it whole. Over the whole text the surest span
-    wins, then the first; it never overlaps another or a base span.
+    span added has one of those. Overlapping windows are put together before spans are
+    read off: every character takes its tag from the window in whose middle it
+    lies, so a span may run over any number of windows. Its edges are those of
+    the word or number, and it never overlaps a base span. Over the whole text the surest span
+    wins, then the first.
     """
     places: list[tuple[int, int]] = []
+    covers: list[np.ndarray] = []
     for row, (text, spans) in enumerate(zip(texts, bases)):
-        covered = np.zeros(len(text) + 1, np.int8)
+        covered = np.zeros(len(text) + WINDOW, bool)
         for _, start, end in spans:
-            covered[start:end] = 1
-        anchors = [m.start() for m in _ANCHOR.finditer(text) if not covered[m.start()]]
-        places += [(row, start) for start in window_starts(anchors)]
-    candidates: list[dict[Span, float]] = [{} for _ in texts]
+            covered[start:end] = True
+        covers.append(covered)
+        places += [(row, start) for start in window_starts([m.start() for m in _ANCHOR.finditer(text) if not covered[m.start()]]) if start < len(text)]
+    joined: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # tags and their probabilities, for texts with any tag
+    known = set(places)
+    margin = (WINDOW - STRIDE) // 2
     for at in range(0, len(places), 1024):
         part = places[at : at + 1024]
         scores = tagger.scores(np.stack([symbols(texts[row][start : start + WINDOW]) for row, start in part]))
@@ -340,21 +478,24 @@ def added_spans(tagger: Tagger, texts: list[str], bases: list[list[Span]]) -> li
         sure = np.take_along_axis(tagger.probabilities(scores[hits]), tags[hits][:, :, None], 2)[:, :, 0]
         for hit, probabilities in zip(hits, sure):
             row, start = part[hit]
-            text = texts[row]
-            for kind, first, last in runs(tags[hit][: len(text) - start]):
-                inner_start, inner_end = first == 0 and start > 0, last == WINDOW and start + WINDOW < len(text)
-                span = (kind, start + first, start + last)
-                if not (inner_start or inner_end) and plausible(kind, text[span[1] : span[2]]):
-                    score = float(probabilities[first:last].mean())
-                    if score >= SURE:
-                        candidates[row][span] = max(score, candidates[row].get(span, 0))
-    found = []
-    for options, spans in zip(candidates, bases):
-        chosen: list[Span] = []
+            if row not in joined:
+                joined[row] = np.zeros(len(covers[row]), np.int64), np.zeros(len(covers[row]))
+            low = margin if (row, start - STRIDE) in known else 0
+            high = WINDOW - margin if (row, start + STRIDE) in known else WINDOW
+            for whole, own in zip(joined[row], (tags[hit], probabilities)):
+                whole[start + low : start + high] = own[low:high]
+    found: list[list[Span]] = [[] for _ in texts]
+    for row, (tags, probabilities) in joined.items():
+        text, covered, options = texts[row], covers[row], {}
+        tags[covered] = 0
+        for kind, first, last in runs(tags[: len(text)]):
+            score = float(probabilities[first:last].mean())
+            span = (kind, *snapped(text, kind, first, last, covered))
+            if score >= SURE and plausible(kind, text[span[1] : span[2]]):
+                options[span] = max(score, options.get(span, 0))
         for span in sorted(options, key=lambda span: (-options[span], span[1], span[0])):
-            if not _overlaps(spans, span[1], span[2]) and not _overlaps(chosen, span[1], span[2]):
-                chosen.append(span)
-        found.append(chosen)
+            if not _overlaps(bases[row], span[1], span[2]) and not _overlaps(found[row], span[1], span[2]):
+                found[row].append(span)
     return found
 
 

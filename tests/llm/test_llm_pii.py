@@ -60,39 +60,88 @@ def test_best_sequence_equals_all_sequences():
     assert np.allclose(tagger.probabilities(scores).sum(-1), 1)
 
 
+WORDS = "the and attion thanedble erhe inand onre leque für sch enta ouch".split()
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
 @pytest.fixture(scope="module")
 def tagger():
+    """Trained on texts whose spans the rules find; the forms that no rule matches come from the training variants."""
     rng = random.Random(3)
     windows = []
-    for _ in range(150):
-        digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
-        word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7)))
-        card = digits(15)
-        card += next(c for c in "0123456789" if pii.luhn(card + c))
-        value = rng.choice([f"{word()}.{digits(2)}@{word()}.com", f"10.{rng.randint(0, 255)}.2.{rng.randint(0, 99)}", card, f"+1 ({digits(3)}) 555-{digits(4)}", digits(3), f"{word()}-{digits(4)}"])
-        windows += pii.training_windows(f"{word()} {word()} {word()} {value} {word()} {word()}, {word()} {word()}.")
+    for i in range(400):
+        value = pii.harmless(rng) if i % 3 == 0 else next(v for v in iter(lambda: pii.varied(i % 4, rng), "") if any(k == i % 4 for k, _, _ in pii.base_spans(v)))
+        windows += pii.training_windows(f"{prose(rng, rng.randint(0, 30))} {value} {prose(rng, rng.randint(1, 30))}.")
     tagger = pii.Tagger()
     losses = tagger.fit(np.stack([pii.symbols(text) for text, _ in windows]), np.array([tags for _, tags in windows]))
-    assert losses[-1] < losses[0] / 20
+    assert np.mean(losses[-10:]) < losses[0] / 50
     return tagger
 
 
-def test_held_out_accuracy_and_added_spans(tagger):
-    text = "abc de (212) 555-1234 gab. cab"
-    assert [text[a:b] for kind, a, b in pii.added_spans(tagger, [text], [[]])[0] if kind == 3] == ["(212) 555-1234"]
-    rng = random.Random(11)
-    found = wanted = 0
-    for _ in range(60):
-        text = f"fed cab {rng.choice('abc')}.{rng.randint(10, 99)}@{rng.choice(['head', 'bead'])}.com gab dad " + "ab " * rng.randint(0, 60)
-        wanted += 1
-        found += pii.base_spans(text)[0] in pii.added_spans(tagger, [text], [[]])[0]
-    assert found / wanted > 0.8
-
-
-def test_windows_agree_across_their_edges(tagger):
-    for shift in range(0, 100, 7):
-        text = "ab " * 40 + " " * shift + "fed b.42@head.com gab" + " dad" * 40
-        assert len(pii.added_spans(tagger, [text], [[]])[0]) <= 1
+def added(tagger, text):
+    return [(pii.KINDS[kind], text[a:b]) for kind, a, b in pii.added_spans(tagger, [text], [pii.base_spans(text)])[0]]
+
+
+def test_what_the_rules_miss(tagger):
+    for value, want in [
+        ("+1 (826) 555-4081 190.137.223.204", ("phone", "+1 (826) 555-4081")),
+        ("anna@localhost", ("email", "anna@localhost")),
+        ("0049 30 123 456 78", ("phone", "0049 30 123 456 78")),
+        ("4111.1111.1111.1111", ("card", "4111.1111.1111.1111")),
+        ("10-0-0-7", ("ip", "10-0-0-7")),
+    ]:
+        assert added(tagger, f"leque and attion {value} erhe inand the") == [want]
+
+
+def test_held_out_recall_and_precision(tagger):
+    rng = random.Random(99)
+    for kind, least in enumerate((0.9, 0.75, 0.6, 0.6)):
+        found = wanted = 0
+        for _ in range(150):
+            value = pii.varied(kind, rng)
+            text = f"{prose(rng, rng.randint(0, 30))} {value} {prose(rng, rng.randint(1, 30))}"
+            at = text.find(value)
+            if not any(k == kind and a <= at and b >= at + len(value) for k, a, b in pii.base_spans(text)):
+                wanted += 1
+                found += (pii.KINDS[kind], value) in added(tagger, text)
+        assert found / wanted > least, pii.KINDS[kind]
+    harmless = [f"{prose(rng, rng.randint(0, 30))} {pii.harmless(rng)} {prose(rng, rng.randint(1, 30))}" for _ in range(300)]
+    assert sum(bool(added(tagger, text)) for text in harmless) <= 6
+
+
+@pytest.mark.parametrize("size", [18, 38, 58, 78, 150])
+def test_found_wherever_it_lies(tagger, size):
+    address = "anna@" + ("müllerstraße-köln.größe-überländer.grünäpfel-öffnung." * 4)[: size - 8] + ".de"
+    address = address.replace("..", "x.").replace("-.", "x.")
+    for shift in range(24):
+        text = "ab " * 30 + "x" * shift + f" {address} " + "gab dad " * 20
+        assert added(tagger, text) == [("email", address)], shift
+
+
+def test_added_spans_overlap_nothing(tagger):
+    rng = random.Random(12)
+    for _ in range(150):
+        text = " ".join(pii.varied(rng.randint(0, 3), rng) for _ in range(6))
+        base = pii.base_spans(text)
+        spans = pii.added_spans(tagger, [text], [base])[0]
+        assert all(not pii._overlaps(base, a, b) and 0 <= a < b <= len(text) for _, a, b in spans)
+        assert all(not pii._overlaps([other for other in spans if other != span], span[1], span[2]) for span in spans)
+
+
+def test_training_windows_carry_their_labels():
+    for seed in range(60):
+        rng = random.Random(seed)
+        text = f"{prose(rng, 40)} mail a.b@c.example.com or call +1 (826) 555-4081 and 4111 1111 1111 1111 {prose(rng, 40)}"
+        windows = pii.training_windows(text)
+        assert windows == pii.training_windows(text)  # a function of the text
+        for window, tags in windows:
+            assert len(window) <= pii.WINDOW and len(tags) == pii.WINDOW
+            for kind, a, b in pii.runs(np.array(tags)[: len(window)]):
+                inner = a > 0 and b < len(window)
+                assert not inner or window[a - 1] == " " and window[a] != " " and window[b - 1] != " ", (window, window[a:b])
 
 
 def test_documents(spark, messy, no_docs):
@@ -103,3 +152,11 @@ def test_documents(spark, messy, no_docs):
     assert by_id[7].n_email == 1 and by_id[7].spans.startswith(f"email:{place}:{place + 17}")
     assert by_id[2].spans == by_id[3].spans == ""
     assert pii.find(no_docs).collect() == []
+
+
+def test_the_query_adds_spans(spark):
+    rng = random.Random(21)
+    rows = [(i, f"{prose(rng, 30)} {pii.varied(i % 4, rng) if i % 2 else '+1 (826) 555-4081 190.137.223.204'} {prose(rng, 30)}") for i in range(300)]
+    got = {row.doc_id: row for row in pii.find(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    phones = [i for i in range(0, 300, 2)]
+    assert sum(got[i].n_phone == 0 and got[i].n_added == 1 and "phone:" in got[i].spans for i in phones) > 0.9 * len(phones)
