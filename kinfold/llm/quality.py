@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from math import ceil, log, sqrt
+from math import log, sqrt
 from operator import eq
 
 import numpy as np
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from kinfold.llm.batches import SLICE, in_arrow, per_text
 from kinfold.llm.components import settled
+from kinfold.llm.sums import summed
 
 WAVES = 192  # random Fourier features
 RIDGE = 1.0
@@ -97,33 +97,6 @@ def _matrix(batch: pa.RecordBatch, name: str = "statistics") -> np.ndarray:
     return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).astype(float)
 
 
-def _summed(rows: DataFrame, add: Callable[[pa.RecordBatch], np.ndarray], size: int) -> np.ndarray:
-    """The sum over all batches of a vector of fixed ``size``.
-
-    Each task sums its own rows; then square root many tasks sum those, so the
-    driver gets about sqrt(tasks) vectors.
-    """
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size)
-        for batch in batches:
-            if batch.num_rows:
-                total += add(batch)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
-
-    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size)
-        for batch in batches:
-            for value in batch.column(0).to_pylist():
-                total += np.frombuffer(value)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
-
-    groups = ceil(sqrt(max(rows.rdd.getNumPartitions(), 1)))
-    halfway = in_arrow(rows, first, "total binary").repartition(groups)
-    totals = in_arrow(halfway, again, "total binary").collect()
-    return sum((np.frombuffer(bytes(row.total)) for row in totals), np.zeros(size))
-
-
 def fit(measured_rows: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality") -> Scorer:
     """Fit on all labelled rows whose remainder is not 0.
 
@@ -144,7 +117,7 @@ def fit(measured_rows: DataFrame, labels: DataFrame, doc_id: str = "doc_id", lab
         rows = _matrix(batch)
         return np.concatenate([[len(rows)], rows.sum(0), (rows**2).sum(0)])
 
-    sums = _summed(train, moments, 2 * d + 1)
+    sums = summed(train, moments, 2 * d + 1)
     n = sums[0]
     rng = np.random.default_rng(7)
     base = dict(
@@ -168,7 +141,7 @@ def fit(measured_rows: DataFrame, labels: DataFrame, doc_id: str = "doc_id", lab
             out[k - 1] = own.T @ np.column_stack([own, y[fold == k]])
         return out.ravel()
 
-    parts = _summed(train, equations, (FOLDS - 1) * width * (width + 1)).reshape(FOLDS - 1, width, width + 1)
+    parts = summed(train, equations, (FOLDS - 1) * width * (width + 1)).reshape(FOLDS - 1, width, width + 1)
     penalty = RIDGE * np.eye(width)
     penalty[-1, -1] = 1e-9
     solve = lambda part: np.linalg.solve(part[:, :-1] + penalty, part[:, -1])
@@ -181,7 +154,7 @@ def fit(measured_rows: DataFrame, labels: DataFrame, doc_id: str = "doc_id", lab
         place = np.clip(((raw - LOW) / (HIGH - LOW) * BINS).astype(int), 0, BINS - 1)
         return np.concatenate([np.bincount(place, minlength=BINS), np.bincount(place, y, BINS)])
 
-    bins = _summed(train, binned, 2 * BINS)
+    bins = summed(train, binned, 2 * BINS)
     raw, share = isotonic(LOW + (np.arange(BINS) + 0.5) * (HIGH - LOW) / BINS, bins[:BINS], bins[BINS:])
     return Scorer(**base, weights=weights, raw=raw, share=share)
 
