@@ -5,25 +5,27 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from kinfold.llm.batches import SLICE, in_arrow
 from kinfold.llm.byte_bpe import show_bytes
+from kinfold.llm.components import settled
+from kinfold.llm.sums import summed
 from kinfold.llm.words import Memory
 
 WINDOW = 4_096
 END = 2  # the id after each document
-SHARD_TOKENS, SHARD_DOCS = 2_000_000, 50_000  # a shard of the index is closed when it reaches either
+SHARD_TOKENS = 1_500_000  # ids that a shard of the index aims at; it is closed when it reaches twice as many
+DOCUMENT = 30  # what a document counts beside its ids, which bounds the documents of a shard too
 WORDS, PIECES = 800_000, 200_000  # words and pieces whose ids a task remembers
-TERMS = 16  # of a seed in the quick score; neighbours are ranked by all of its terms
 DENSE = 8  # a term in more than one of so many documents of a shard has a row of weights
 NEIGHBOURS = 64  # fetched at once; more are fetched while there is room
 K1, B = 1.2, 0.75
@@ -40,7 +42,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self.kind = np.uint16 if self._tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.size = self._tokenizer.get_vocab_size()  # ids below this one
+        self.kind = np.uint16 if self.size <= 1 << 16 else np.uint32
         self._merge = self._tokenizer.model.tokenize
         self._pieces = Memory(self._encode_piece, PIECES)
         self._words = Memory(self._encode_word, WORDS)
@@ -63,10 +66,36 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+@dataclass(frozen=True)
+class Corpus:
+    """What BM25 takes from all documents: their number, their mean length, and in how many each id occurs."""
+
+    documents: int
+    mean: float
+    holders: np.ndarray
+
+    @classmethod
+    def of(cls, documents: list[np.ndarray], ids: int) -> Corpus:
+        totals = _totals(documents, ids)
+        return cls(int(totals[0]), totals[1] / max(totals[0], 1), totals[2:])
+
+    def rarity(self) -> np.ndarray:
+        return np.log1p((self.documents - self.holders + 0.5) / (self.holders + 0.5)).astype(np.float32)
+
+
+def _totals(documents: list[np.ndarray], ids: int) -> np.ndarray:
+    """Documents, their ids, and the documents that hold each id: numbers that add up over any split of the corpus."""
+    out = np.zeros(2 + ids)
+    out[0], out[1] = len(documents), sum(map(len, documents))
+    for own in documents:
+        out[2 + np.unique(own).astype(np.int64)] += 1
+    return out
+
+
 class Index:
-    """Inverted BM25 index over the documents of one shard; token ids are the terms."""
+    """Inverted BM25 index over the documents of one shard, weighed by the whole corpus; token ids are the terms."""
 
-    def __init__(self, documents: list[np.ndarray]):
+    def __init__(self, documents: list[np.ndarray], corpus: Corpus):
         lengths = np.array([len(ids) for ids in documents], np.int64)
         keys = np.concatenate(documents).astype(np.int64) << 32
         keys |= np.repeat(np.arange(len(documents)), lengths)
@@ -78,8 +107,8 @@ class Index:
         del keys, starts
         self.bounds = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1], [True]]))
         held = np.diff(self.bounds)
-        rarity = np.log1p((len(documents) - held + 0.5) / (held + 0.5)).astype(np.float32)
-        longer = (K1 * (1 - B + B * lengths / max(lengths.mean(), 1))).astype(np.float32)
+        rarity = corpus.rarity()[term[self.bounds[:-1]]]
+        longer = (K1 * (1 - B + B * lengths / max(corpus.mean, 1))).astype(np.float32)
         self.weight = np.repeat(rarity, held) * counts * np.float32(K1 + 1) / (counts + longer[self.document])
         # The same entries by document, the heaviest first: a seed's terms.
         number = np.repeat(np.arange(len(held), dtype=np.int32), held)
@@ -100,11 +129,6 @@ class Index:
         return found
 
     def scores(self, seed: int) -> np.ndarray:
-        """Scores of all documents of the shard against the seed's heaviest terms."""
-        terms = self.terms[self.starts[seed] : min(self.starts[seed + 1], self.starts[seed] + TERMS)]
-        return self._add(np.zeros(len(self.starts) - 1, np.float32), terms)
-
-    def full_scores(self, seed: int) -> np.ndarray:
         """BM25 scores of all documents of the shard against all terms of the seed."""
         terms = self.terms[self.starts[seed] : self.starts[seed + 1]]
         row = self.row[terms]
@@ -113,15 +137,17 @@ class Index:
         return self._add(asked @ self.rows, terms[row < 0])
 
 
-def pack(documents: list[np.ndarray], window: int = WINDOW) -> Iterator[list[tuple[int, int, int]]]:
+def pack(documents: list[np.ndarray], window: int = WINDOW, corpus: Corpus | None = None) -> Iterator[list[tuple[int, int, int]]]:
     """Sequences of pieces (document, start, length) that hold each id once.
 
     The next unused document is the seed. Its neighbours follow by falling score,
     those that fit whole first; what room is left takes the start of the best one
     that did not fit, whose rest stays unused. Without neighbours the next unused
-    documents follow. Only the last sequence can be short.
+    documents follow. Only the last sequence can be short. ``corpus`` gives the
+    weights of the terms; without one they are those of ``documents``.
     """
-    index = Index(documents)
+    corpus = corpus or Corpus.of(documents, int(max(map(np.max, documents))) + 1)
+    index = Index(documents, corpus)
     left = np.array([len(ids) for ids in documents], np.int64)
     total = left.copy()
     following = 0
@@ -142,7 +168,7 @@ def pack(documents: list[np.ndarray], window: int = WINDOW) -> Iterator[list[tup
             room -= length
 
         take(seed)
-        scores = index.full_scores(seed) if room else None
+        scores = index.scores(seed) if room else None
         while room:
             scores[left == 0] = 0
             best = np.argpartition(-scores, NEIGHBOURS)[:NEIGHBOURS] if len(scores) > NEIGHBOURS else np.arange(len(scores))
@@ -193,59 +219,123 @@ def without_padding(sequence: list[tuple[int, int, int]], window: int = WINDOW)
 FIELDS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def _marks(count: int, seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).integers(0, 1 << 32, count, dtype=np.uint32)
+
+
+def likeness(ids: np.ndarray, marks: np.ndarray) -> tuple[int, int]:
+    """The smallest mark of an id and the smallest mark of two neighbouring ids: equal for documents alike, roughly and closely."""
+    own = marks[ids]
+    return int(own.min()), int((own[:-1] * np.uint32(0x9E3779B1) ^ own[1:]).min()) if len(own) > 1 else 0
+
+
+def encoded(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``doc_id``, ``ids`` (16 or 32 bits each, with the end id), ``n`` and marks of likeness, in the checkpoint folder."""
+    value = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), value.alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(path)
+        marks = _marks(encode.size, 11)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                found = [np.append(encode.encode(value), encode.kind(END)) for value in part.column("text").to_pylist()]
+                alike = [likeness(ids, marks) for ids in found]
+                columns = [
+                    part.column("doc_id"),
+                    pa.array([ids.tobytes() for ids in found], pa.binary()),
+                    pa.array([len(ids) for ids in found], pa.int64()),
+                    pa.array([one for one, _ in alike], pa.int64()),
+                    pa.array([two for _, two in alike], pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "n", "rough", "close"])
+
+    return settled(in_arrow(rows, run, f"doc_id {kind}, ids binary, n bigint, rough bigint, close bigint"))
+
+
+def corpus_of(documents: DataFrame, path: str) -> Corpus:
+    """Statistics over all ``encoded`` documents, summed over partitions."""
+    encode = encoder(path)
+
+    def add(batch: pa.RecordBatch) -> np.ndarray:
+        return _totals([np.frombuffer(ids.as_py(), encode.kind) for ids in batch.column("ids")], encode.size)
+
+    totals = summed(documents.select("ids"), add, 2 + encode.size)
+    return Corpus(int(totals[0]), totals[1] / max(totals[0], 1), totals[2:])
+
+
+def sharded(documents: DataFrame, size: float) -> DataFrame:
+    """``documents`` with ``shard``, a number per shard of about ``SHARD_TOKENS`` ids.
+
+    Shards follow from the rows alone, not from partitions: documents that are roughly
+    alike share a bucket; a bucket beyond a shard is parted by close likeness, and
+    what is still beyond one (copies) by a hash of the row. Sizes come from
+    two aggregates over narrow columns.
+    """
+    buckets = 1 << max(int(size / SHARD_TOKENS), 0).bit_length()
+    rows = documents.withColumn("bucket", F.pmod(F.xxhash64("rough"), F.lit(buckets)))
+    parts = F.ceil(F.sum(F.col("n") + DOCUMENT) / SHARD_TOKENS)
+    wide = settled(rows.groupBy("bucket").agg(parts.alias("wide")).filter("wide > 1"))
+    rows = rows.join(wide, "bucket", "left").withColumn("part", F.pmod(F.xxhash64("close"), F.coalesce("wide", F.lit(1)))).drop("wide")
+    deep = settled(rows.groupBy("bucket", "part").agg(parts.alias("deep")).filter("deep > 1"))
+    rows = rows.join(deep, ["bucket", "part"], "left")
+    spread = F.pmod(F.xxhash64("doc_id", "ids"), F.coalesce("deep", F.lit(1)))
+    shard = (F.col("bucket") * (1 << 12) + F.least("part", F.lit((1 << 12) - 1))) * (1 << 12) + F.least(spread, F.lit((1 << 12) - 1))
+    return rows.select(*documents.columns, shard.alias("shard"))
+
+
 def pack_documents(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset`` per piece.
 
     A null text counts as empty; such a document is its end id alone. Repeated
-    rows are documents of their own. Documents are ordered by the smallest hash
-    of their words, which brings similar ones together, then by a hash of the row,
-    which spreads out any number of copies. Each task cuts its share of that order into
-    shards of bounded size and keeps one at a time: its ids, its index and its
-    sequences. The order within a task is fixed, so a task that runs again gives the same rows.
+    rows are documents of their own. Each text is encoded once; BM25 weights come from
+    all documents. The index is sharded: each task holds one shard at a
+    time, its ids, its index and its sequences, and a shard closes early at
+    twice its size, as with many repeats of one row. Rows are the same for any number of partitions.
     """
-    value = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    likeness = F.array_min(F.transform(F.split(F.translate(value, "\n", " "), " "), lambda word: F.xxhash64(word)))
-    rows = docs.select(
-        F.col(doc_id).alias("doc_id"), value.alias("text"), likeness.alias("likeness"), F.xxhash64(F.col(doc_id), value).alias("spread")
-    )
-    ordered = rows.repartitionByRange("likeness", "spread").sortWithinPartitions("likeness", "spread", "doc_id")
-    schema = StructType([rows.schema["doc_id"]] + [StructField(name, LongType()) for name in FIELDS])
+    documents = encoded(docs, path, text, doc_id)
+    corpus = corpus_of(documents, path)
+    order = ["shard", "close", "doc_id", "ids"]
+    ordered = sharded(documents, corpus.documents * (corpus.mean + DOCUMENT)).select("doc_id", "ids", "shard", "close")
+    ordered = ordered.repartition("shard").sortWithinPartitions(*order).select("doc_id", "ids", "shard")
+    schema = StructType([documents.schema["doc_id"]] + [StructField(name, LongType()) for name in FIELDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
-        first = TaskContext.get().partitionId() << 40
+        kind = encoder(path).kind
         sequences = 0
 
-        def close(owners: list, documents: list[np.ndarray]) -> pa.RecordBatch:
+        def close(shard: int, owners: list, held: list[np.ndarray]) -> pa.RecordBatch:
             nonlocal sequences
             out: list[list[int]] = [[] for _ in range(1 + len(FIELDS))]
-            for packed in pack(documents):
+            for packed in pack(held, corpus=corpus):
                 for sequence in without_padding(packed):
                     offset = 0
                     for document, start, length in sequence:
-                        ids = documents[document][start : start + length].astype("<u4").tobytes()
-                        values = (document, start, length, crc32(ids), len(documents[document]), first + sequences, offset)
+                        ids = held[document][start : start + length].astype("<u4").tobytes()
+                        values = (document, start, length, crc32(ids), len(held[document]), (shard << 24) + sequences, offset)
                         for column, number in zip(out, values):
                             column.append(number)
                         offset += length
                     sequences += 1
-            names = pa.chunked_array(owners).combine_chunks() if len(owners) > 1 else owners[0]
-            names = names.chunk(0) if isinstance(names, pa.ChunkedArray) else names
+            names = pa.concat_arrays(owners)
             columns = [names.take(pa.array(out[0], pa.int64())), *(pa.array(column, pa.int64()) for column in out[1:])]
             return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-        owners, documents, tokens = [], [], 0
+        shard, owners, held, tokens = None, [], [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                owners.append(part.column("doc_id"))
-                for value in part.column("text").to_pylist():
-                    documents.append(np.append(encode.encode(value), encode.kind(END)))
-                    tokens += len(documents[-1])
-                if tokens >= SHARD_TOKENS or len(documents) >= SHARD_DOCS:
-                    yield close(owners, documents)
-                    owners, documents, tokens = [], [], 0
-        if documents:
-            yield close(owners, documents)
-
-    return in_arrow(ordered.select("doc_id", "text"), run, schema)
+            marks = batch.column("shard").to_numpy()
+            for place, (mark, ids) in enumerate(zip(marks.tolist(), batch.column("ids"))):
+                if held and (mark != shard or tokens >= 2 * SHARD_TOKENS):
+                    yield close(shard, owners, held)
+                    owners, held, tokens = [], [], 0
+                if mark != shard:
+                    shard, sequences = mark, 0
+                owners.append(batch.column("doc_id").slice(place, 1))
+                held.append(np.frombuffer(ids.as_py(), kind))
+                tokens += len(held[-1]) + DOCUMENT
+        if held:
+            yield close(shard, owners, held)
+
+    return in_arrow(ordered, run, schema)
