@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,6 +117,45 @@ def concept_reruns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.join(graph.edges.select(F.col("dst").alias("id"), "src"), "id", "left")
 
 
+def _first_digits(value: Column) -> Column:
+    """Number of a customer name without its leading zeros; null for every tenth."""
+    number = F.regexp_extract(value, "0*([0-9]+)$", 1)
+    return F.when(~number.endswith("0"), number)
+
+
+HOOKED = Blueprint(
+    "HOOKED",
+    {"customers": ("Src_Customer", "name"), "suppliers": ("Src_Supplier", "name")},
+    standardise={"customers": lambda value: F.left(value, F.lit(2)), "suppliers": lambda value: F.left(name_number(value), F.lit(2))},
+    preprocess={"customers": _first_digits},
+    integrate=lambda raw: F.array(F.min(raw), F.max(raw)),
+)
+
+
+def hooked_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A blueprint with all three hooks, beside one without any."""
+    nodes = tables.customer_nodes(spark, sf_dir).unionByName(tables.supplier_nodes(spark, sf_dir))
+    concepts = resolve.build_concepts(nodes, [HOOKED, PARTNERS[1]])
+    return concepts.merged_ids.select("concept", "concept_id", "val")
+
+
+# The labels of the shipped blueprints; each stands for all suppliers.
+SHIPPED = sorted({label for blueprint in resolve.BLUEPRINTS for label, _ in blueprint.fields.values()})
+
+
+def shipped_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All shipped blueprints in one run: a record of each label per supplier, its properties shared with neighbours."""
+    suppliers = table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey").cast("bigint")
+    nodes = []
+    for place, label in enumerate(SHIPPED):
+        keys = sorted({prop for blueprint in resolve.BLUEPRINTS for own, prop in blueprint.fields.values() if own == label})
+        properties = {prop: scalar(F.concat(F.lit("v"), F.floor(key / (3 + nth)).cast("string"))) for nth, prop in enumerate(keys)}
+        nodes.append(suppliers.select((key * 32 + place).alias("id"), F.array(F.lit(label)).alias("labels"), props(**properties).alias("props")))
+    graph = resolve.integrate(Graph.of(reduce(DataFrame.unionByName, nodes)))
+    return graph.edges.select("src", "dst", F.get("dst_labels", F.lit(0)).alias("concept"))
+
+
 def concept_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Concepts of the suppliers first; the customers come later and are added to them."""
     suppliers, customers = tables.supplier_nodes(spark, sf_dir), tables.customer_nodes(spark, sf_dir)
@@ -206,6 +247,8 @@ QUERIES = {
     "concept_mappings": concept_mappings,
     "concept_reruns": concept_reruns,
     "concept_growth": concept_growth,
+    "hooked_concepts": hooked_concepts,
+    "shipped_concepts": shipped_concepts,
     "drop_label": drop_label,
     "value_links": value_links,
     "value_link_hubs": value_link_hubs,
@@ -242,7 +285,36 @@ g AS (SELECT *, min(id) OVER (PARTITION BY concept, std) AS root FROM v),
 k AS (SELECT *, {sql.concept_id("concept || ':' || root")} AS concept_id, sha256(concept || ':' || root) AS universal_id FROM g)
 """
 
+_SHIPPED = " UNION ALL ".join(
+    f"SELECT CAST(s_suppkey AS BIGINT) * 32 + {SHIPPED.index(label)} AS id, '{blueprint.concept}' AS concept, 'v' || (s_suppkey // {3 + keys.index(prop)}) AS val FROM supplier"
+    for blueprint in resolve.BLUEPRINTS
+    for label, prop in blueprint.fields.values()
+    for keys in [sorted({p for b in resolve.BLUEPRINTS for own, p in b.fields.values() if own == label})]
+)
+
 ORACLES = {
+    "hooked_concepts": f"""
+WITH {_CONCEPTS.strip()},
+raws AS (SELECT {sql.CUSTOMER} AS id, CASE WHEN c_custkey % 10 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS raw FROM customer),
+h AS (SELECT id, raw, substr(raw, 1, 2) AS std FROM raws WHERE raw IS NOT NULL
+      UNION ALL SELECT {sql.SUPPLIER}, s_name, substr(split_part(s_name, '#', 2), 1, 2) FROM supplier),
+hr AS (SELECT *, min(id) OVER (PARTITION BY std) AS root FROM h),
+hm AS (SELECT {sql.concept_id("'HOOKED:' || root")} AS concept_id, min(raw) AS low, max(raw) AS high FROM hr GROUP BY root)
+SELECT DISTINCT 'HOOKED' AS concept, concept_id, unnest([low, high]) AS val FROM hm
+UNION ALL SELECT DISTINCT concept, concept_id, raw FROM k WHERE concept = 'DISTRICT'
+""",
+    "shipped_concepts": f"""
+WITH RECURSIVE all_rows AS ({_SHIPPED}),
+p AS (SELECT DISTINCT concept || ':' || id AS id, concept || ' ' || val AS val FROM all_rows),
+vals AS (SELECT val, row_number() OVER (ORDER BY val) AS n FROM (SELECT DISTINCT val FROM p)),
+near AS (SELECT DISTINCT a.n AS x, b.n AS y FROM p JOIN vals a USING (val) JOIN p q ON q.id = p.id JOIN vals b ON b.val = q.val),
+reach AS (SELECT n AS x, n AS y FROM vals UNION SELECT reach.x, near.y FROM reach JOIN near ON near.x = reach.y),
+least AS (SELECT x, min(y) AS component FROM reach GROUP BY x),
+c AS (SELECT DISTINCT split_part(p.id, ':', 1) AS concept, CAST(split_part(p.id, ':', 2) AS BIGINT) AS id, component
+      FROM p JOIN vals USING (val) JOIN least ON least.x = vals.n),
+r AS (SELECT *, min(id) OVER (PARTITION BY concept, component) AS root FROM c)
+SELECT id AS src, {sql.concept_id("concept || ':' || root")} AS dst, concept FROM r
+""",
     "valid_values": """
 WITH v AS (SELECT event_id, CASE event_id % 6 WHEN 0 THEN ' N/A ' WHEN 1 THEN 'None' WHEN 2 THEN chr(9)
                   WHEN 3 THEN NULL ELSE ' ' || event_type END AS val FROM events)

@@ -220,6 +220,14 @@ def property_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def likely_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of properties with at least half of the smaller one's values in the other, found by sketches."""
+    return discover.likely_overlap(tables.table_graph(spark, sf_dir), 0.5).select(
+        "label_1", "key_1", "label_2", "key_2", "shared", F.round("containment", 9).alias("containment"),
+        F.round("jaccard", 9).alias("jaccard"), "evidence",
+    )
+
+
 def flatten_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"),
@@ -253,6 +261,7 @@ QUERIES = {
     "pending_sources": pending_sources,
     "strip_prefixes": strip_prefixes,
     "property_overlap": property_overlap,
+    "likely_overlap": likely_overlap,
     "flatten_lists": flatten_lists,
 }
 
@@ -364,3 +373,4 @@ UNION ALL SELECT id, 'sign_1', sign[2] FROM s
 UNION ALL SELECT id, 'sign_str', array_to_string(sign, ', ') FROM s
 """,
 }
+ORACLES["likely_overlap"] = f"SELECT * FROM ({ORACLES['property_overlap']}) WHERE containment >= 0.5"

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from math import log
+
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinfold.model import Graph, property_rows, value_rows
-from kinfold.skew import checked_broadcast
 from kinfold.session import ensure_checkpoint_dir
+from kinfold.skew import checked_broadcast
 
 UNCLASSIFIED = "UNCLASSIFIED"
 
@@ -58,6 +62,83 @@ def strip_texts(nodes: DataFrame, rules: dict[tuple[str, str], list[str]] = STRI
     )
 
 
+SKETCH = 256  # hashes of a property's sketch
+DOUBT = 1e-9  # chance that a pair above the limit is passed over by its sketches
+
+
+def property_values(graph: Graph) -> DataFrame:
+    """(prop, val), prop being a struct of label and key: one row per property value."""
+    return value_rows(graph).select(F.explode("labels").alias("label"), "key", "val").select(F.struct("label", "key").alias("prop"), "val")
+
+
+def property_sketches(values: DataFrame, size: int = SKETCH) -> DataFrame:
+    """(prop, hashes): the ``size`` smallest hashes of a property's different values, ascending.
+
+    Sketches of parts of the data merge into that of the whole by the same rule
+    (``merge_sketches``). Only hashes are shuffled, each of a property once a task.
+    """
+    hashes = values.select("prop", F.xxhash64("val").alias("hash")).distinct()
+    return _smallest(hashes, size)
+
+
+def merge_sketches(*sketches: DataFrame, size: int = SKETCH) -> DataFrame:
+    every = reduce(DataFrame.unionByName, sketches)
+    return _smallest(every.select("prop", F.explode("hashes").alias("hash")).distinct(), size)
+
+
+def _smallest(hashes: DataFrame, size: int) -> DataFrame:
+    nth = F.row_number().over(Window.partitionBy("prop").orderBy("hash"))
+    return hashes.withColumn("nth", nth).filter(F.col("nth") <= size).groupBy("prop").agg(F.array_sort(F.collect_list("hash")).alias("hashes"))
+
+
+def candidate_pairs(sketches: DataFrame, limit: float, size: int = SKETCH) -> list[tuple]:
+    """Pairs of properties that may hold at least ``limit`` of the smaller one's values in common.
+
+    Below the lower of the two highest hashes both sketches are complete samples, so
+    the share found there estimates the containment, off by more than Hoeffding's
+    bound with chance ``DOUBT``. A pair is passed over only when even that bound lies
+    below the limit; small samples rule nothing out. A sketch that is
+    not full is the whole property. Rows and their size are bounded by the schema.
+    """
+    held = [(tuple(row.prop), np.array(row.hashes, np.int64)) for row in sketches.orderBy("prop").collect()]
+    full = [len(hashes) >= size for _, hashes in held]
+    low = float(-(1 << 63))
+    counts = [len(h) if not whole else (size - 1) / max((float(h[-1]) - low) / 2.0**64, 1e-18) for (_, h), whole in zip(held, full)]
+    found = []
+    for i, (one, first) in enumerate(held):
+        for j in range(i + 1, len(held)):
+            two, second = held[j]
+            top = min([int(h[-1]) for h, whole in ((first, full[i]), (second, full[j])) if whole], default=None)
+            a, b = (first, second) if top is None else (first[first <= top], second[second <= top])
+            shared = len(np.intersect1d(a, b, assume_unique=True))
+            if top is None:  # both are whole
+                possible = shared and shared >= limit * min(len(a), len(b))
+            else:
+                # Which side is the smaller one is itself an estimate, so either may be.
+                sides = [own for own, n, other in ((a, counts[i], counts[j]), (b, counts[j], counts[i])) if n <= 2 * other]
+                possible = any(shared / max(len(own), 1) + (log(1 / DOUBT) / (2 * max(len(own), 1))) ** 0.5 >= limit for own in sides)
+            if possible:
+                found.append((one, two))
+    return found
+
+
+def likely_overlap(graph: Graph, limit: float, size: int = SKETCH) -> DataFrame:
+    """``property_overlap`` for pairs whose containment is at least ``limit``.
+
+    Sketches name the candidates; only values of properties in a candidate pair are
+    shuffled and counted exactly, so what is reported is exact.
+    """
+    values = property_values(graph)
+    pairs = candidate_pairs(property_sketches(values, size), limit, size)
+    spark = graph.nodes.sparkSession
+    names = sorted({prop for pair in pairs for prop in pair})
+    prop = "struct<label:string,key:string>"
+    wanted = spark.createDataFrame([(name,) for name in names], f"prop {prop}")
+    exact = _overlap(values.join(checked_broadcast(wanted), "prop", "left_semi"), 1)
+    listed = spark.createDataFrame([(*one, *two) for one, two in pairs], "label_1 string, key_1 string, label_2 string, key_2 string")
+    return exact.join(checked_broadcast(listed), listed.columns, "left_semi").filter(F.col("containment") >= limit)
+
+
 def property_overlap(graph: Graph, min_shared: int = 1) -> DataFrame:
     """How far the values of two properties overlap, for every pair that shares a value.
 
@@ -67,12 +148,14 @@ def property_overlap(graph: Graph, min_shared: int = 1) -> DataFrame:
     key_2, shared, containment (of the smaller side), jaccard, confidence (1 to
     10) and one shared value as evidence.
     """
-    ensure_checkpoint_dir(graph.nodes.sparkSession)
+    return _overlap(property_values(graph), min_shared)
+
+
+def _overlap(values: DataFrame, min_shared: int) -> DataFrame:
+    ensure_checkpoint_dir(values.sparkSession)
     sets = (
-        value_rows(graph)
-        .select(F.explode("labels").alias("label"), "key", "val")
-        .groupBy("val")
-        .agg(F.array_sort(F.collect_set(F.struct("label", "key"))).alias("holders"))  # bounded by the schema
+        values.groupBy("val")
+        .agg(F.array_sort(F.collect_set("prop")).alias("holders"))  # bounded by the schema
         .groupBy("holders")
         .agg(F.count("*").alias("shared"), F.min("val").alias("evidence"))
         .checkpoint()

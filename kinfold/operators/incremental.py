@@ -108,6 +108,8 @@ def integrate_more(
     them. Concepts that no new record touches are passed through.
     """
     blueprints = list(blueprints)
+    if any(blueprint.integrate for blueprint in blueprints):
+        raise ValueError("merged ids of an integrate hook need all values of a cluster: use resolve.integrate")
     rows = identifier_rows(records, blueprints)
     growth = grow(stored, _members(rows))
     ids = growth.replaced.select(

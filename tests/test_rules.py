@@ -1,5 +1,7 @@
 import json
+import random
 
+import pytest
 from graphs import graph, node_values, rows
 from pyspark.sql import functions as F
 
@@ -159,3 +161,41 @@ def test_catalogue_files(spark, tmp_path):
     assert rows(files.read_names(spark, write("b.json", {"z": "failed"}))) == [("z",)]
     (tmp_path / "o.tsv").write_text("Source Label\tP\tT\tQ\tC\tE\tR\nA\tid\tB\tid\t10\tsame\tboth\n")
     assert files.read_overlaps(spark, str(tmp_path / "o.tsv")).first().confidence == 10
+
+
+def overlapping(spark, seed):
+    """Properties of 5 to 600 values out of ranges that overlap by any share."""
+    rng = random.Random(seed)
+    values = []
+    for prop in range(14):
+        low, n = rng.randint(0, 800), rng.choice([5, 20, 60, 200, 600])
+        values += [(("L" + str(prop % 3), f"k{prop}"), f"v{rng.randint(low, low + 2 * n)}") for _ in range(n)]
+    return spark.createDataFrame(values, "prop struct<label:string,key:string>, val string")
+
+
+@pytest.mark.parametrize("seed, limit", [(1, 0.2), (2, 0.5)])
+def test_sketches_pass_over_no_pair(spark, seed, limit):
+    values = overlapping(spark, seed)
+    held = {}
+    for row in values.collect():
+        held.setdefault(tuple(row.prop), set()).add(row.val)
+    want = {(a, b) for a in held for b in held if a < b and len(held[a] & held[b]) >= max(1, limit * min(len(held[a]), len(held[b])))}
+    for size in (32, 256):
+        found = set(discover.candidate_pairs(discover.property_sketches(values, size), limit, size))
+        assert want <= found
+    assert len(found) < 14 * 13 / 2  # the larger sketches do rule pairs out
+
+
+def test_sketches_merge(spark):
+    values = overlapping(spark, 3)
+    one, two = values.filter("xxhash64(val) % 2 = 0"), values.filter("xxhash64(val) % 2 <> 0 or hash(val) % 3 = 0")
+    merged = discover.merge_sketches(discover.property_sketches(one, 50), discover.property_sketches(two, 50), size=50)
+    assert rows(merged) == rows(discover.property_sketches(values, 50))
+
+
+def test_likely_overlap(spark):
+    nodes = [(i, ["A" if i % 2 else "B"], {"k": f"v{i // 4}", "m": [f"v{i}", "w"], "own": f"{i % 2}-{i}"}) for i in range(400)]
+    g = graph(spark, nodes)
+    want = rows(discover.property_overlap(g).filter("containment >= 0.6"))
+    assert rows(discover.likely_overlap(g, 0.6)) == want and want
+    assert rows(discover.likely_overlap(graph(spark, [(1, ["A"], {})]), 0.6)) == []
