@@ -20,12 +20,13 @@ from kinfold.llm.byte_bpe import show_bytes
 from kinfold.llm.components import settled
 from kinfold.llm.sums import summed
 from kinfold.llm.words import Memory
+from kinfold.skew import checked_broadcast
 
 WINDOW = 4_096
 END = 2  # the id after each document
 SHARD_TOKENS = 1_500_000  # ids that a shard of the index aims at; it is closed when it reaches twice as many
 DOCUMENT = 30  # what a document counts beside its ids, which bounds the documents of a shard too
-WORDS, PIECES = 800_000, 200_000  # words and pieces whose ids a task remembers
+WORDS, PIECES = 1_500_000, 200_000  # words and pieces whose ids a task remembers
 DENSE = 8  # a term in more than one of so many documents of a shard has a row of weights
 NEIGHBOURS = 64  # fetched at once; more are fetched while there is room
 K1, B = 1.2, 0.75
@@ -223,47 +224,55 @@ def _marks(count: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 1 << 32, count, dtype=np.uint32)
 
 
-def likeness(ids: np.ndarray, marks: np.ndarray) -> tuple[int, int]:
+def likeness(ids: np.ndarray, different: np.ndarray, marks: np.ndarray) -> tuple[int, int]:
     """The smallest mark of an id and the smallest mark of two neighbouring ids: equal for documents alike, roughly and closely."""
     own = marks[ids]
-    return int(own.min()), int((own[:-1] * np.uint32(0x9E3779B1) ^ own[1:]).min()) if len(own) > 1 else 0
+    return int(marks[different].min()), int((own[:-1] * np.uint32(0x9E3779B1) ^ own[1:]).min()) if len(own) > 1 else 0
 
 
-def encoded(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id``, ``ids`` (16 or 32 bits each, with the end id), ``n`` and marks of likeness, in the checkpoint folder."""
+def encoded(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, Corpus]:
+    """All documents, ``doc_id``, ``ids`` (16 or 32 bits each, with the end id), ``n`` and marks of likeness, in the
+    checkpoint folder, and the statistics over them.
+
+    One pass over the texts does both: each task ends with a row of its totals
+    (marked by a negative ``n``), and these are summed over partitions.
+    """
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("doc_id"), value.alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "ids", "n", "rough", "close"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         marks = _marks(encode.size, 11)
+        totals = np.zeros(2 + encode.size)
+        owner = None
         for batch in batches:
+            owner = batch.column("doc_id").type
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
-                found = [np.append(encode.encode(value), encode.kind(END)) for value in part.column("text").to_pylist()]
-                alike = [likeness(ids, marks) for ids in found]
-                columns = [
-                    part.column("doc_id"),
-                    pa.array([ids.tobytes() for ids in found], pa.binary()),
-                    pa.array([len(ids) for ids in found], pa.int64()),
-                    pa.array([one for one, _ in alike], pa.int64()),
-                    pa.array([two for _, two in alike], pa.int64()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "n", "rough", "close"])
-
-    return settled(in_arrow(rows, run, f"doc_id {kind}, ids binary, n bigint, rough bigint, close bigint"))
-
-
-def corpus_of(documents: DataFrame, path: str) -> Corpus:
-    """Statistics over all ``encoded`` documents, summed over partitions."""
-    encode = encoder(path)
-
-    def add(batch: pa.RecordBatch) -> np.ndarray:
-        return _totals([np.frombuffer(ids.as_py(), encode.kind) for ids in batch.column("ids")], encode.size)
-
-    totals = summed(documents.select("ids"), add, 2 + encode.size)
-    return Corpus(int(totals[0]), totals[1] / max(totals[0], 1), totals[2:])
+                found, alike = [], []
+                for value in part.column("text").to_pylist():
+                    ids = np.append(encode.encode(value), encode.kind(END))
+                    different = np.unique(ids)
+                    totals[different + np.int64(2)] += 1
+                    alike.append(likeness(ids, different, marks))
+                    found.append(ids)
+                sizes = list(map(len, found))
+                totals[0] += len(found)
+                totals[1] += sum(sizes)
+                numbers = (sizes, [one for one, _ in alike], [two for _, two in alike])
+                columns = [part.column("doc_id"), pa.array([ids.tobytes() for ids in found], pa.binary()), *(pa.array(column, pa.int64()) for column in numbers)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+        if owner is not None:
+            last = [pa.nulls(1, owner), pa.array([totals.tobytes()], pa.binary()), *(pa.array([number], pa.int64()) for number in (-1, 0, 0))]
+            yield pa.RecordBatch.from_arrays(last, names=names)
+
+    every = settled(in_arrow(rows, run, f"doc_id {kind}, ids binary, n bigint, rough bigint, close bigint"))
+    add = lambda batch: sum(np.frombuffer(totals.as_py()) for totals in batch.column("ids"))
+    size = encoder(path).size
+    totals = summed(every.filter("n < 0").select("ids"), add, 2 + size)
+    return every.filter("n >= 0"), Corpus(int(totals[0]), totals[1] / max(totals[0], 1), totals[2:])
 
 
 def sharded(documents: DataFrame, size: float) -> DataFrame:
@@ -272,14 +281,15 @@ def sharded(documents: DataFrame, size: float) -> DataFrame:
     Shards follow from the rows alone, not from partitions: documents that are roughly
     alike share a bucket; a bucket beyond a shard is parted by close likeness, and
     what is still beyond one (copies) by a hash of the row. Sizes come from
-    two aggregates over narrow columns.
+    two aggregates over narrow columns; the buckets that are parted are a few numbers
+    each, broadcast after a count of them.
     """
     buckets = 1 << max(int(size / SHARD_TOKENS), 0).bit_length()
     rows = documents.withColumn("bucket", F.pmod(F.xxhash64("rough"), F.lit(buckets)))
     parts = F.ceil(F.sum(F.col("n") + DOCUMENT) / SHARD_TOKENS)
-    wide = settled(rows.groupBy("bucket").agg(parts.alias("wide")).filter("wide > 1"))
+    wide = checked_broadcast(rows.groupBy("bucket").agg(parts.alias("wide")).filter("wide > 1"), settle=True)
     rows = rows.join(wide, "bucket", "left").withColumn("part", F.pmod(F.xxhash64("close"), F.coalesce("wide", F.lit(1)))).drop("wide")
-    deep = settled(rows.groupBy("bucket", "part").agg(parts.alias("deep")).filter("deep > 1"))
+    deep = checked_broadcast(rows.groupBy("bucket", "part").agg(parts.alias("deep")).filter("deep > 1"), settle=True)
     rows = rows.join(deep, ["bucket", "part"], "left")
     spread = F.pmod(F.xxhash64("doc_id", "ids"), F.coalesce("deep", F.lit(1)))
     shard = (F.col("bucket") * (1 << 12) + F.least("part", F.lit((1 << 12) - 1))) * (1 << 12) + F.least(spread, F.lit((1 << 12) - 1))
@@ -295,8 +305,7 @@ def pack_documents(docs: DataFrame, path: str, text: str = "text", doc_id: str =
     time, its ids, its index and its sequences, and a shard closes early at
     twice its size, as with many repeats of one row. Rows are the same for any number of partitions.
     """
-    documents = encoded(docs, path, text, doc_id)
-    corpus = corpus_of(documents, path)
+    documents, corpus = encoded(docs, path, text, doc_id)
     order = ["shard", "close", "doc_id", "ids"]
     ordered = sharded(documents, corpus.documents * (corpus.mean + DOCUMENT)).select("doc_id", "ids", "shard", "close")
     ordered = ordered.repartition("shard").sortWithinPartitions(*order).select("doc_id", "ids", "shard")

@@ -161,7 +161,8 @@ def test_statistics_are_those_of_all_documents(spark, monkeypatch):
     docs = some_texts(spark, 60).repartition(5)
     library = tokenizers.Tokenizer.from_file(PATH)
     ids = [[*library.encode(row.text, add_special_tokens=False).ids, 2] for row in docs.collect()]
-    corpus = packing.corpus_of(packing.encoded(docs, PATH), PATH)
+    documents, corpus = packing.encoded(docs, PATH)
+    assert documents.count() == len(ids)
     assert corpus.documents == len(ids) and corpus.mean == pytest.approx(np.mean([len(own) for own in ids]))
     for term in {1, 2, 320, ids[0][0], ids[7][3]}:
         assert corpus.holders[term] == sum(term in own for own in ids)
@@ -172,7 +173,7 @@ def test_one_shard_packs_as_the_whole_corpus(spark):
     docs = some_texts(spark, 60)
     library = tokenizers.Tokenizer.from_file(PATH)
     held = [(row.doc_id, np.array([*library.encode(row.text, add_special_tokens=False).ids, 2], np.uint16)) for row in docs.collect()]
-    order = [row.doc_id for row in packing.encoded(docs, PATH).orderBy("close", "doc_id").collect()]
+    order = [row.doc_id for row in packing.encoded(docs, PATH)[0].orderBy("close", "doc_id").collect()]
     by_id = dict(held)
     want = [
         sorted((order[i], start, length) for i, start, length in part)
