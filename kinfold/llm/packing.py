@@ -26,7 +26,7 @@ WINDOW = 4_096
 END = 2  # the id after each document
 SHARD_TOKENS = 1_500_000  # ids that a shard of the index aims at; it is closed when it reaches twice as many
 DOCUMENT = 30  # what a document counts beside its ids, which bounds the documents of a shard too
-WORDS, PIECES = 1_500_000, 200_000  # words and pieces whose ids a task remembers
+WORDS, PIECES = 2_000_000, 200_000  # words and pieces whose ids a task remembers
 DENSE = 8  # a term in more than one of so many documents of a shard has a row of weights
 NEIGHBOURS = 64  # fetched at once; more are fetched while there is room
 K1, B = 1.2, 0.75
@@ -58,7 +58,14 @@ class WordEncoder:
         return array(self.kind().dtype.char, self._tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self._words.__getitem__, text.replace("\n", " ").split(" "))), self.kind)
+        return np.frombuffer(self._joined(text), self.kind)
+
+    def document(self, text: str) -> np.ndarray:
+        """The ids of a text and the end id."""
+        return np.frombuffer(self._joined(text) + self.kind(END).tobytes(), self.kind)
+
+    def _joined(self, text: str) -> bytes:
+        return b"".join(map(self._words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 @lru_cache(maxsize=2)
@@ -246,6 +253,8 @@ def encoded(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_i
         encode = encoder(path)
         marks = _marks(encode.size, 11)
         totals = np.zeros(2 + encode.size)
+        holders = totals[2:]
+        there = np.zeros(encode.size, bool)  # ids of the text in hand
         owner = None
         for batch in batches:
             owner = batch.column("doc_id").type
@@ -253,9 +262,11 @@ def encoded(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_i
                 part = batch.slice(at, SLICE)
                 found, alike = [], []
                 for value in part.column("text").to_pylist():
-                    ids = np.append(encode.encode(value), encode.kind(END))
-                    different = np.unique(ids)
-                    totals[different + np.int64(2)] += 1
+                    ids = encode.document(value)
+                    there[ids] = True
+                    different = np.flatnonzero(there)
+                    there[different] = False
+                    holders[different] += 1
                     alike.append(likeness(ids, different, marks))
                     found.append(ids)
                 sizes = list(map(len, found))
