@@ -15,7 +15,7 @@ needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="supplied ta
 
 
 def test_all_operators_are_registered():
-    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
@@ -65,6 +65,6 @@ def test_query_against_sql(spark, name):
     from tools.check_oracle import canonical
 
     con = duckdb.connect()
-    for table in ("pages", "embeddings", "documents", "labels"):
+    for table in ("pages", "embeddings", "documents", "labels", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     assert canonical(queries.QUERIES[name](spark, SF_DIR).toPandas()) == canonical(con.sql(queries.ORACLES[name]).df())
