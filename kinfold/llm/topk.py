@@ -18,9 +18,9 @@ K = 10
 SCALE = 1_024
 PER_PIVOT = 10_000  # queries for which there is one more pivot
 LEAST_PIVOTS, MOST_PIVOTS = 8, 256  # the most bounds what goes to the driver and to every task
-QUERIES = 4_096  # queries of one job
-BLOCK = 500_000  # data rows of one job
-STEP = 512  # data rows of one product
+QUERIES = 8_192  # queries of one job
+BLOCK = 65_536  # data rows of one job
+STEP = 256  # data rows of one product
 SLACK = 1 + 1e-9
 LONG = (1 << 63) - 1
 
@@ -43,7 +43,7 @@ def products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 class Job:
-    """Queries of one group; data rows stream past and the best k of each query stay."""
+    """Queries of one bundle; data rows stream past by falling bound and the best k of each query stay."""
 
     def __init__(self, home: pa.Table, k: int):
         home = home.combine_chunks()
@@ -54,7 +54,11 @@ class Job:
         self.query, self.owner, self.score = (np.zeros(0, np.int64) for _ in range(3))
 
     def visit(self, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        bound = part.column("bound").to_numpy()
         for at in range(0, part.num_rows, STEP):
+            least = self.least.min()
+            if least > -LONG - 1 and bound[at] < least:  # nor can any row after this one reach a k-th score
+                break
             some = part.slice(at, STEP)
             ids = some.column("vec_id").to_numpy()
             scores = products(self.queries, scaled(some.column("embedding")))
@@ -95,8 +99,24 @@ def _nearest(pivots: dict[int, np.ndarray]):
     return run
 
 
+def bundled(centre: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """A bundle for each query group: neighbouring groups together, as long as they have no more than ``QUERIES`` queries."""
+    bundle = np.full(len(queries), -1)
+    for number in range(len(queries)):
+        free = np.flatnonzero(bundle < 0)
+        if not len(free):
+            break
+        away = ((centre[free] - centre[free[0]]) ** 2).sum(1)
+        order = free[np.argsort(away, kind="stable")]
+        order = order[np.argsort(order != free[0], kind="stable")]  # its own group first, whatever the rounding
+        fits = np.cumsum(queries[order]) <= QUERIES
+        bundle[order[0]] = number
+        bundle[order[fits]] = number
+    return bundle
+
+
 class Plan:
-    """What every task must know: pivots, reach of each query group and the score its queries are sure to find."""
+    """What every task must know: pivots, reach of each query group, the score its queries are sure to find, its bundle."""
 
     def __init__(self, pivots: dict[int, np.ndarray], near: list, groups: list, rows: int, k: int):
         self.groups: dict[int, dict] = {}
@@ -119,18 +139,23 @@ class Plan:
             sure = np.sort(np.maximum.reduceat(sure[:, order], firsts, axis=1), axis=1)[:, ::-1]
             # One of the ids may be the query's own, so k others need k + 1.
             least = sure[:, k] if sure.shape[1] > k else np.full(len(own), -np.inf)
+            # Scores are cut off at the range of a long, where more rows can tie.
+            least = np.where(least < -(2.0**63), -np.inf, np.minimum(least, 2.0**63))
+            bundle = bundled(centre, np.array([row["queries"] for row in own]))
+            asked = np.bincount(bundle, [row["queries"] for row in own])
             self.groups[size] = {
+                "bundle": bundle,
                 "place": {int(cell): at for at, cell in enumerate(cells)},
                 "centre": centre,
                 "reach": reach,
                 "least": least - 1e-9 * np.abs(least) - 1,
-                "blocks": np.array([ceil(row["queries"] / QUERIES) for row in own]),
+                "blocks": np.ceil(asked / QUERIES).astype(int),
                 "data_blocks": ceil(rows / BLOCK),
             }
 
 
 def _dealt(plan: Plan):
-    """Queries to every data block of their group, data rows to every group whose bound they can reach."""
+    """Queries to every data block of their bundle, data rows once to every bundle with a group whose bound they can reach."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,24 +172,29 @@ def _dealt(plan: Plan):
                 asked = np.flatnonzero(query)
                 if len(asked):
                     place = np.array([group["place"][cell] for cell in part.column("cell").take(pa.array(asked)).to_pylist()])
-                    block = spread[asked] % group["blocks"][place]
+                    bundle = group["bundle"][place]
+                    block = spread[asked] % group["blocks"][bundle]
                     for data_block in range(group["data_blocks"]):
-                        out.append((asked, place, block, np.full(len(asked), data_block), np.zeros(len(asked), int)))
+                        out.append((asked, bundle, block, np.full(len(asked), data_block), np.zeros(len(asked), int), np.zeros(len(asked))))
                 bound = rows @ group["centre"].T + np.sqrt((rows * rows).sum(1))[:, None] * group["reach"] * SLACK
-                row, place = np.nonzero(bound + 1e-9 * np.abs(bound) >= group["least"])
-                for block in range(int(group["blocks"].max())):
-                    has = group["blocks"][place] > block
-                    out.append((row[has], place[has], np.full(has.sum(), block), (spread[row[has]] >> 8) % group["data_blocks"], np.ones(has.sum(), int)))
-                row, place, block, data_block, visitor = (np.concatenate(x) for x in zip(*out))
+                bound += 1e-9 * np.abs(bound) + 1
+                for bundle in range(len(group["blocks"])):
+                    own = group["bundle"] == bundle
+                    row = np.flatnonzero((bound[:, own] >= group["least"][own]).any(axis=1))
+                    highest = bound[row][:, own].max(axis=1)
+                    for block in range(group["blocks"][bundle]):
+                        out.append((row, np.full(len(row), bundle), np.full(len(row), block), (spread[row] >> 8) % group["data_blocks"], np.ones(len(row), int), highest))
+                row, bundle, block, data_block, visitor, highest = (np.concatenate(x) for x in zip(*out))
                 chosen = part.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(row), size), pa.int32()),
-                        *(pa.array(x, pa.int32()) for x in (place, block, data_block, visitor)),
+                        *(pa.array(x, pa.int32()) for x in (bundle, block, data_block, visitor)),
+                        pa.array(highest),
                         chosen.column("vec_id"),
                         chosen.column("embedding"),
                     ],
-                    names=["size", "place", "block", "data_block", "visitor", "vec_id", "embedding"],
+                    names=["size", "bundle", "block", "data_block", "visitor", "bound", "vec_id", "embedding"],
                 )
 
     return run
@@ -181,9 +211,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_
 
     Queries and data are grouped by pivots. From the summaries (each query
     group's reach, the distances of the k + 1 different ids nearest to each pivot) follows a score
-    that every query of a group is sure to find; a data row goes only to groups
-    where its bound reaches that. Large groups are dealt out in blocks of queries
-    and of data, and the best of the blocks are merged.
+    that every query of a group is sure to find; a data row is of use only to groups
+    where its bound reaches that. Neighbouring groups of few queries form a
+    bundle, to which a row goes once. Large groups are dealt out in blocks of queries
+    and of data, and the best of the blocks are merged. A block meets its rows by
+    falling bound and stops where no query can gain any more.
     """
     rows = vectors.filter(F.col(vec_id).isNotNull() & usable(F.col(embedding))).select(
         F.col(vec_id).cast("bigint").alias("vec_id"), F.col(embedding).alias("embedding"), F.size(embedding).alias("size"), is_query.alias("query")
@@ -211,9 +243,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_
     near = closest.withColumn("nth", F.row_number().over(by_cell)).filter(F.col("nth") <= k + 1).collect()
     groups = placed.filter("query").groupBy("size", "cell").agg(F.max("distance").alias("reach"), F.count("*").alias("queries")).collect()
     plan = Plan(centres, near, groups, total, k)
-    group = ["size", "place", "block", "data_block"]
-    dealt = in_arrow(placed.select("vec_id", "size", "query", "spread", "embedding", "cell"), _dealt(plan), f"size int, place int, block int, data_block int, visitor int, vec_id bigint, embedding {kind}")
-    ordered = dealt.repartition(*group).sortWithinPartitions(*group, "visitor", "vec_id")
+    group = ["size", "bundle", "block", "data_block"]
+    dealt = in_arrow(placed.select("vec_id", "size", "query", "spread", "embedding", "cell"), _dealt(plan), f"size int, bundle int, block int, data_block int, visitor int, bound double, vec_id bigint, embedding {kind}")
+    ordered = dealt.repartition(*group).sortWithinPartitions(*group, "visitor", F.desc("bound"), "vec_id")
     found = in_arrow(ordered, lambda batches: streamed(batches, group, lambda home: Job(home, k)), result)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,8 +23,18 @@ def matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1)
 
 
+def _ends(batch: pa.RecordBatch, names: list[str]) -> list[int]:
+    """The places after the last row of each run of equal values."""
+    rows = batch.num_rows
+    changed = np.zeros(max(rows - 1, 0), bool)
+    for name in names:
+        column = batch.column(name)
+        changed |= pc.not_equal(column.slice(1), column.slice(0, rows - 1)).to_numpy(zero_copy_only=False)
+    return [*(np.flatnonzero(changed) + 1).tolist(), rows]
+
+
 def streamed(batches: Iterator[pa.RecordBatch], group: list[str], open_job: Callable[[pa.Table], object]) -> Iterator[pa.RecordBatch]:
-    """Feeds rows that are sorted by ``group`` and then ``visitor`` (0: resident, 1: visitor) into one job after another.
+    """Feeds rows that are sorted by ``group`` and then ``visitor`` (0: resident, else a visitor) into one job after another.
 
     A job is opened with its resident rows, meets its visitors batch by batch
     through ``visit`` and ends with ``finish``; both may give batches. Only the
@@ -41,15 +52,11 @@ def streamed(batches: Iterator[pa.RecordBatch], group: list[str], open_job: Call
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [batch.column(name).to_pylist() for name in (*group, "visitor")]
-        marks = list(zip(*columns))
         start = 0
-        for place in range(1, len(marks) + 1):
-            if place < len(marks) and marks[place] == marks[start]:
-                continue
-            *key, visitor = marks[start]
-            part = batch.slice(start, place - start)
-            start = place
+        for end in _ends(batch, [*group, "visitor"]):
+            part = batch.slice(start, end - start)
+            *key, visitor = (batch.column(name)[start].as_py() for name in (*group, "visitor"))
+            start = end
             if key != current:
                 yield from close()
                 current, resident, job = key, [], None
