@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 from kinfold.llm.batches import in_arrow
 from kinfold.llm.components import connected_components, settled
 from kinfold.llm.vectors import matrix, streamed, usable
+from kinfold.skew import checked_broadcast
 
 THRESHOLD = 0.98
-RESIDENT = 4_096  # home vectors of one job
+RESIDENT = 16_384  # home vectors of one job
 TILE = 1_024  # rows and columns of one product
-PER_PIVOT = 50_000  # vectors for which there is one more pivot
+PAIRS = 1 << 22  # bounds the pairs that a job holds, however dense the tile
+PER_PIVOT = 200_000  # vectors for which there is one more pivot: a dozen blocks, of which a vector visits half
 MOST_PIVOTS = 2_048  # bounds the pivots that go to the driver and to every task
+HOME, SIBLING, STRANGER = 0, 1, 2  # of a job's own block, of another block of the cell, of another cell
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -65,7 +68,7 @@ def possible_pairs(a: Quantised, b: Quantised, threshold: float) -> tuple[np.nda
 
 
 class Job:
-    """Home vectors of one block against all vectors that can be close to their cell."""
+    """Home vectors of one block against each other and all vectors that can be close to them."""
 
     def __init__(self, home: pa.Table, threshold: float):
         home = home.combine_chunks()
@@ -84,13 +87,20 @@ class Job:
         return x
 
     def visit(self, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        """Counts the links of the home vectors; edges come out only where they connect something new."""
-        for at in range(0, part.num_rows, TILE):  # bounds the pairs that are held, however dense the tile
-            yield from self._meet(part.slice(at, TILE))
+        """Counts the links of the home vectors; edges come out only where they connect something new.
 
-    def _meet(self, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        A visitor of the same cell meets this block here only, so its links are counted too.
+        """
         keys, copies = part.column("key").to_pylist(), part.column("copies").to_numpy()
-        units = unit(matrix(part.column("embedding")))
+        yield from self._meet(keys, copies, unit(matrix(part.column("embedding"))), part.column("visitor")[0].as_py() == SIBLING)
+
+    def _meet(self, keys: list, copies: np.ndarray, units: np.ndarray, both: bool) -> Iterator[pa.RecordBatch]:
+        step = max(1, min(TILE, PAIRS // len(self.keys)))
+        for at in range(0, len(keys), step):
+            some = slice(at, at + step)
+            yield from self._meet_tile(keys[some], copies[some], units[some], both)
+
+    def _meet_tile(self, keys: list, copies: np.ndarray, units: np.ndarray, both: bool) -> Iterator[pa.RecordBatch]:
         x, y = possible_pairs(self.quantised, Quantised(units), self.threshold)
         linked = np.zeros(len(x), bool)
         for at in range(0, len(x), 1 << 16):  # full precision for what the bounds leave open
@@ -100,6 +110,11 @@ class Job:
         if not len(x):
             return
         np.add.at(self.links, x, copies[y])
+        if both:
+            found = np.zeros(len(keys), np.int64)
+            np.add.at(found, y, self.copies[x])
+            some = np.flatnonzero(found)
+            yield _rows([keys[place] for place in some], [None] * len(some), found[some].tolist())
         order = np.argsort(y, kind="stable")
         x, y = x[order], y[order]
         # One edge from each visitor to its first home vector; more only between home vectors not yet connected.
@@ -120,6 +135,7 @@ class Job:
             yield _rows(*map(list, zip(*edges)), [None] * len(edges))
 
     def finish(self) -> Iterator[pa.RecordBatch]:
+        yield from self._meet(self.keys, self.copies, self.units, False)  # each other
         yield _rows(self.keys, [None] * len(self.keys), self.links.tolist())
 
 
@@ -162,12 +178,13 @@ def _cells(pivots: dict[int, np.ndarray], threshold: float):
 
 
 def link_rows(classes: DataFrame, threshold: float = THRESHOLD, resident: int = RESIDENT) -> DataFrame:
-    """``a``, ``b``, ``links``: per class its links with copies (``b`` null), and edges that span the components (``links`` null).
+    """``a``, ``b``, ``links``: links of a class with copies, which add up over rows (``b`` null), and edges that span the components (``links`` null).
 
     ``classes`` (``label``, ``key``, ``copies``, ``embedding``) holds each different
-    vector of a label once. A large cell is dealt out in blocks of home vectors,
-    and all vectors of the cell stream past each block, so no job holds more than
-    one block and one batch.
+    vector of a label once. A large cell is dealt out in blocks of home vectors.
+    The blocks stand in a circle: a vector visits the half of the others that
+    follow its own, so two blocks meet once, and vectors from other cells visit all.
+    No job holds more than one block and one batch.
     """
     classes = classes.withColumn("size", F.size("embedding"))
     count = classes.count()
@@ -180,16 +197,16 @@ def link_rows(classes: DataFrame, threshold: float = THRESHOLD, resident: int =
     group = ["label", "size", "cell"]
     fields = f"label {classes.schema['label'].dataType.simpleString()}, size int, key string, copies bigint, embedding {classes.schema['embedding'].dataType.simpleString()}, cell int, home boolean"
     placed = in_arrow(classes.select("label", "size", "key", "copies", "embedding"), _cells(centres, threshold), fields)
-    blocks = settled(
-        placed.filter("home").groupBy(*group).agg(F.ceil(F.count("*") / resident).cast("int").alias("blocks")).filter("blocks > 1")
-    )
+    sizes = placed.filter("home").groupBy(*group).agg(F.ceil(F.count("*") / resident).cast("int").alias("blocks"))
+    blocks = checked_broadcast(sizes.filter("blocks > 1"), settle=True)  # a row for several blocks of vectors
     placed = placed.join(blocks, group, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    met = F.concat(
-        F.when(F.col("home"), F.array(F.struct(block.alias("block"), F.lit(0).alias("visitor")))).otherwise(F.array().cast("array<struct<block:int,visitor:int>>")),
-        F.transform(every, lambda b: F.struct(b.alias("block"), F.lit(1).alias("visitor"))),
-    )
+    # Opposite blocks, where their number is even, meet in one of the two only.
+    half = F.floor((F.col("blocks") - 1) / 2).cast("int") + F.when((F.col("blocks") % 2 == 0) & (block < F.col("blocks") / 2), 1).otherwise(0)
+    meet = lambda at, visitor: F.struct(at.cast("int").alias("block"), F.lit(visitor).alias("visitor"))
+    others = F.transform(F.filter(F.sequence(F.lit(0), half), lambda step: step > 0), lambda step: meet((block + step) % F.col("blocks"), SIBLING))
+    every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda at: meet(at, STRANGER))
+    met = F.when(F.col("home"), F.concat(F.array(meet(block, HOME)), others)).otherwise(every)
     dealt = placed.withColumn("met", F.explode(met)).select(*group, "met.block", "met.visitor", "key", "copies", "embedding")
     group.append("block")
     ordered = dealt.repartition(*group).sortWithinPartitions(*group, "visitor", "key")
@@ -214,7 +231,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, vec_id: st
         .agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
     )
     found = settled(link_rows(classes.select("label", "key", "copies", "embedding"), threshold))
-    counts = found.filter("links is not null").select(F.col("a").alias("key"), "links")
+    counts = found.filter("links is not null").groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("links"))
     groups = connected_components(found.filter("links is null").select("a", "b")).withColumnRenamed("node", "key")
     named = settled(
         classes.select("key", "least").join(groups, "key", "left").withColumn("component", F.coalesce("component", "key"))

@@ -127,3 +127,42 @@ def test_bounds_prune_far_groups(spark):
 def test_scores_beyond_double_precision_are_exact():
     queries, rows = np.array([[2.0**30, 1.0]]), np.array([[2.0**30, 1.0], [2.0**60, 0.0]])
     assert topk.products(queries, rows).tolist() == [[2**60 + 1, 2**63 - 1]]
+
+
+def dealt_copies(monkeypatch, module, run):
+    """Rows that reach the jobs of ``module``, resident and visiting."""
+    met = []
+
+    def counting(frame, work, schema):
+        if "visitor" in frame.columns:
+            met.append(frame.count())
+        return real(frame, work, schema)
+
+    real = module.in_arrow
+    monkeypatch.setattr(module, "in_arrow", counting)
+    run().collect()
+    return met[0]
+
+
+def test_few_queries_share_a_bundle(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=8).tolist(), 1, 1, 2, "k") for i in range(600)]
+    frame = spark.createDataFrame(rows, FIELDS)
+    # 8 pivots, no bound that prunes: each row goes to one bundle, and so does each of the 60 queries.
+    assert dealt_copies(monkeypatch, topk, lambda: topk.search(frame, F.col("vec_id") % 10 == 0)) <= 660
+
+
+def test_bundles_hold_neighbours_and_a_bounded_number_of_queries(monkeypatch):
+    monkeypatch.setattr(topk, "QUERIES", 10)
+    centre = np.array([[0.0], [100.0], [1.0], [101.0], [2.0]])
+    bundle = topk.bundled(centre, np.array([4, 30, 4, 9, 4]))
+    assert bundle[0] == bundle[2] and len(set(bundle[[0, 1, 3, 4]].tolist())) == 4
+
+
+@pytest.mark.parametrize("resident", [100, 130, 200, 1000])
+def test_blocks_of_a_cell_meet_once(spark, monkeypatch, resident):
+    monkeypatch.setattr(embed_dedup.link_rows, "__defaults__", (0.98, resident))
+    rng = np.random.default_rng(6)
+    frame = spark.createDataFrame([(i, rng.normal(size=8).tolist(), 1, 1, 2, "k") for i in range(600)], FIELDS)
+    blocks = -(-600 // resident)
+    assert dealt_copies(monkeypatch, embed_dedup, lambda: embed_dedup.near_duplicates(frame)) <= 600 * (1 + blocks / 2)
