@@ -62,3 +62,20 @@ def test_statistics_have_one_size():
     for text in ("", " ", "\n\n", "a", "é🙂", "1 2 3", "x" * 100_000):
         values = quality.statistics(text)
         assert len(values) == quality.N_STATISTICS and np.isfinite(values).all()
+
+
+@pytest.mark.parametrize("tasks", [1, 5])
+def test_fit_equals_one_ridge_over_all_rows(spark, tasks):
+    rng = np.random.default_rng(3)
+    table = rng.normal(size=(300, quality.N_STATISTICS)).astype(np.float32)
+    marks = (table[:, 0] + table[:, 1] ** 2 > 0.7).astype(int)
+    measured = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(table)], "doc_id bigint, statistics array<float>").repartition(tasks)
+    labels = spark.createDataFrame([(i, int(y)) for i, y in enumerate(marks)], "doc_id bigint, quality int")
+    scorer = quality.fit(measured, labels)
+    used = np.array([zlib.crc32(str(i).encode()) % 5 != 0 for i in range(300)])
+    rows, y = table[used].astype(float), marks[used]
+    assert scorer.mean == pytest.approx(rows.mean(0)) and scorer.scale == pytest.approx(rows.std(0))
+    waves = np.sqrt(2 / quality.WAVES) * np.cos(np.clip((rows - rows.mean(0)) / rows.std(0), -8, 8) @ scorer.frequencies + scorer.phases)
+    design = np.vstack([np.hstack([waves, np.ones((len(rows), 1))]), np.sqrt(np.append(np.full(quality.WAVES, quality.RIDGE), 1e-9)) * np.eye(quality.WAVES + 1)])
+    want = np.linalg.lstsq(design, np.append(y, np.zeros(quality.WAVES + 1)), rcond=None)[0]
+    assert scorer.weights == pytest.approx(want, abs=1e-6)
